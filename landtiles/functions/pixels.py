@@ -9,14 +9,16 @@ from landtiles.fixed import COLOUR_RADIUS, CROP_RATIO
 def stacks(batch: pa.RecordBatch):
     """Yield (row numbers, uint8 array n x height x width x 3) per tile shape in a batch.
 
+    The batch has the fields of an image in columns with a leading underscore.
+
     Channel order stays blue, green, red. Grey tiles are repeated to three channels and
     an alpha channel is left out.
     """
     shapes = np.stack(
-        [batch.column(c).to_numpy() for c in ("height", "width", "nChannels")], axis=1
+        [batch.column(c).to_numpy() for c in ("_height", "_width", "_nChannels")], axis=1
     )
     kinds, kind_of_row = np.unique(shapes, axis=0, return_inverse=True)
-    data = batch.column("data")
+    data = batch.column("_data")
     for kind, (height, width, channels) in enumerate(kinds):
         rows = np.flatnonzero(kind_of_row.ravel() == kind)
         raw = b"".join(data.take(pa.array(rows)).to_pylist())

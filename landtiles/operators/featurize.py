@@ -14,7 +14,7 @@ from landtiles.functions.vectors import hash_fraction
 
 # Tiles held as floats at once inside a task: 64 x 3 x 224 x 224 x 4 bytes are 39 MB.
 TILES_AT_ONCE = 64
-_IMAGE_FIELDS = ("height", "width", "nChannels", "data")
+_IMAGE_FIELDS = ("origin", "height", "width", "nChannels", "data")
 _DRAWS = ("top", "left", "brightness", "contrast", "saturation")
 
 
@@ -122,9 +122,11 @@ def augment(tiles: DataFrame, epoch: Column, seed: str = "0", side: int = TILE_S
     kept = [c for c in tiles.columns if c != "image"]
     image = tiles.schema["image"].dataType
     changed = True
-    flat = _flat(tiles, kept + ["image.origin", "image.mode"], epoch, seed)
+    flat = _flat(tiles, kept, epoch, seed)
     names = [f.name for f in image.fields]
-    schema = StructType([tiles.schema[c] for c in kept] + list(image.fields))
+    schema = StructType(
+        [tiles.schema[c] for c in kept] + [StructField(f"_{f.name}", f.dataType) for f in image.fields]
+    )
     opencv_three_bytes = 16  # image type of three unsigned bytes per pixel
 
     def images(batches):
@@ -136,7 +138,7 @@ def augment(tiles: DataFrame, epoch: Column, seed: str = "0", side: int = TILE_S
                     data[rows] = np.rint(_prepared(part, rows, stack, side, changed))
                 n = part.num_rows
                 made = {
-                    "origin": part.column("origin"),
+                    "origin": part.column("_origin"),
                     "height": pa.array([side] * n, pa.int32()),
                     "width": pa.array([side] * n, pa.int32()),
                     "nChannels": pa.array([3] * n, pa.int32()),
@@ -144,10 +146,12 @@ def augment(tiles: DataFrame, epoch: Column, seed: str = "0", side: int = TILE_S
                     "data": pa.array([tile.tobytes() for tile in data], pa.binary()),
                 }
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in kept] + [made[c] for c in names], names=kept + names
+                    [part.column(c) for c in kept] + [made[c] for c in names], names=schema.names
                 )
 
-    return flat.mapInArrow(images, schema).select(*kept, F.struct(*names).alias("image"))
+    return flat.mapInArrow(images, schema).select(
+        *kept, F.struct(*(F.col(f"_{c}").alias(c) for c in names)).alias("image")
+    )
 
 
 def draws(epoch: Column, seed: str = "0") -> list[Column]:
@@ -163,14 +167,15 @@ def draws(epoch: Column, seed: str = "0") -> list[Column]:
 
 
 def _flat(tiles: DataFrame, kept: list[str], epoch: Column | None, seed: str) -> DataFrame:
-    fields = [F.col(f"image.{c}") for c in _IMAGE_FIELDS]
-    return tiles.select(*kept, *fields, *([] if epoch is None else draws(epoch, seed)))
+    fields = [F.col(f"image.{c}").alias(f"_{c}") for c in _IMAGE_FIELDS]
+    drawn = [] if epoch is None else draws(epoch, seed)
+    return tiles.select(*kept, *fields, *(c.alias(f"_{d}") for c, d in zip(drawn, _DRAWS)))
 
 
 def _prepared(part: pa.RecordBatch, rows, stack: np.ndarray, side: int, changed: bool) -> np.ndarray:
     if not changed:
         return pixels.resize(stack, side)
-    drawn = np.stack([part.column(name).to_numpy()[rows] for name in _DRAWS], axis=1)
+    drawn = np.stack([part.column(f"_{d}").to_numpy()[rows] for d in _DRAWS], axis=1)
     scaled = pixels.resize(pixels.crop(stack, drawn[:, :2]), side)
     return pixels.jitter(scaled, drawn[:, 2:])
 

@@ -97,9 +97,9 @@ def raster_lines(pixels: DataFrame, block: int = LINE_BLOCK) -> DataFrame:
         .groupBy("row_idx", "block_idx")
         .agg(F.array_sort(F.collect_list(F.struct("at", "r", "g", "b"))).alias("painted"))
     )
-    blocks = F.sequence(F.lit(0), F.lit(size.last_col // block))
+    blocks = F.sequence(*(F.lit(i).cast("bigint") for i in (0, size.last_col // block)))
     frame = pixels.sparkSession.range(size.last_row + 1).select(
-        F.col("id").alias("row_idx"), F.explode(blocks).cast("bigint").alias("block_idx")
+        F.col("id").alias("row_idx"), F.explode(blocks).alias("block_idx")
     )
     left = F.lit(size.last_col + 1) - F.col("block_idx") * block
     lines = frame.withColumn("width", F.least(F.lit(block), left).cast("int"))

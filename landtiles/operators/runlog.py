@@ -49,7 +49,7 @@ def epoch_series(means: DataFrame) -> DataFrame:
         *(
             F.struct(
                 F.lit(metric).alias("metric"),
-                F.transform("_epochs", lambda e, c=column: e[c]).alias("series"),
+                F.col("_epochs")[column].alias("series"),
             )
             for metric, column in SERIES.items()
         )

@@ -324,7 +324,7 @@ def image_stats(spark, sf_dir):
 
     def channel(i):
         block = F.slice("features", i * SIDE * SIDE + 1, SIDE * SIDE)
-        return F.aggregate(block, F.lit(0.0), lambda s, v: s + v).cast("bigint")
+        return F.aggregate(block, F.lit(0.0), lambda s, v: s + v.cast("double")).cast("bigint")
 
     return found.select(
         tile_name(), "label", "height", "width",
