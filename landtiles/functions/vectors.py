@@ -1,5 +1,7 @@
 """Column expressions on arrays and text fields."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,7 +20,19 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def three_decimals(value: Column, undefined: str = "Undefined") -> Column:
-    return F.when(value.isNull(), F.lit(undefined)).otherwise(F.format_string("%.3f", value))
+    return F.coalesce(decimals(value, 3), F.lit(undefined))
+
+
+def decimals(value: Column, places: int) -> Column:
+    """Text with this many decimals, NULL for NULL.
+
+    Rounds the exact binary value and ties to even, so 0.0625 becomes 0.062. The one
+    value that Java takes for a tie with zero, 0.0005 for three places, is set by hand.
+    """
+    half = f"5e-{places + 1}"
+    rounded = float(f"1e-{places}") if Decimal(float(half)) > Decimal(half) else 0.0
+    exact = F.when(value == float(half), F.lit(rounded)).otherwise(value)
+    return F.call_function("format_number", exact, F.lit("0." + "0" * places))
 
 
 def required(value: Column, what: str) -> Column:

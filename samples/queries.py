@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from landtiles.fixed import CARD_FIELDS
 from landtiles.functions.paths import base_name, class_name
-from landtiles.functions.vectors import argmax
+from landtiles.functions.vectors import argmax, decimals
 from landtiles.operators import featurize as fz
 from landtiles.operators import geo, labels, metrics, models, runlog
 from landtiles.plans.analyze import analyze
@@ -205,7 +205,7 @@ def epoch_means(spark, sf_dir):
 
 
 def series_text(rows: DataFrame) -> Column:
-    return F.array_join(F.transform("series", lambda v: F.format_string("%.4f", v)), " ").alias("series")
+    return F.array_join(F.transform("series", lambda v: decimals(v, 4)), " ").alias("series")
 
 
 @query
