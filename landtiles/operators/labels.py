@@ -36,7 +36,7 @@ def positions(rows: DataFrame, order: list[str], index: str) -> DataFrame:
     within = F.col("_at").bitwiseAND(F.lit((1 << _ROWS_PER_PARTITION_BITS) - 1))
     return (
         placed.withColumn("_part", part)
-        .join(starts, "_part")
+        .join(F.broadcast(starts), "_part")
         .select(*rows.columns, (F.col("_start") + within).alias(index))
     )
 

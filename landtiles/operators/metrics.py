@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landtiles.functions.vectors import ratio, three_decimals
+from landtiles.session import cut
 
 
 def confusion_counts(predictions: DataFrame) -> DataFrame:
@@ -15,6 +16,15 @@ def confusion_counts(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy("label", "pred_label").agg(F.count("*").alias("n"))
 
 
+def stored_counts(predictions: DataFrame) -> DataFrame:
+    """The same counts, stored, for use in several reports.
+
+    On counts that are not stored the optimizer may move parts of a report below the
+    grouping and read the predictions again.
+    """
+    return cut(confusion_counts(predictions), "counts")
+
+
 def overall_accuracy(counts: DataFrame) -> DataFrame:
     """One row: ``n_total, n_correct, accuracy``."""
     right = F.when(F.col("label") == F.col("pred_label"), F.col("n")).otherwise(0)
@@ -93,7 +103,8 @@ def confusion_matrix(counts: DataFrame) -> DataFrame:
     """``label, pred_label, n`` for every pair of true labels, zero where none occurs.
 
     Predictions outside the true labels have no column; ``outside_predictions`` counts
-    them. The matrix itself has one row per pair, so its list of classes is small.
+    them. The matrix itself has one row per pair, so its list of classes is small. Hand in
+    stored counts: they are used three times.
     """
     labels = counts.select("label").distinct()
     columns = labels.agg(F.collect_list("label")).scalar()

@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from landtiles.operators.geo import join_report, locate, pixel_table, raster_lines
 from landtiles.operators.metrics import (
     class_report,
-    confusion_counts,
     confusion_matrix,
     one_vs_rest,
     outside_predictions,
     overall_accuracy,
+    stored_counts,
 )
 from landtiles.session import cut, job_session
 from landtiles.sinks.tables import ModelPaths
@@ -26,7 +26,7 @@ def analyze(
     tiles = read_tile_index(spark, tile_index)
     tested = read_test_predictions(spark, paths.test_predictions)
 
-    counts = cut(confusion_counts(tested), "counts")
+    counts = stored_counts(tested)
     per_class = cut(one_vs_rest(counts), "per-class")
     pixels = cut(pixel_table(locate(predictions, tiles), on_unknown), "map-pixels")
     reports = {

@@ -24,7 +24,7 @@ from landtiles.operators.models import (
 )
 from landtiles.plans.checks import check_fraction, check_retraining
 from landtiles.plans.common import evaluate, feature_extractor, record, stored
-from landtiles.session import job_session
+from landtiles.session import cut, job_session
 from landtiles.sinks.tables import ModelPaths, write_card, write_label_index, write_map_file
 from landtiles.sources.images import list_class_files, read_labelled_tiles
 
@@ -69,14 +69,12 @@ def retrain(
         pretrained_model_type=pretrained, retraining_type=depth,
         output_model_name=paths.name, num_epochs=epochs, sample_frac=fraction,
     )
-    files = list_class_files(spark, train_root)
-    index = label_index(files)
+    files = cut(list_class_files(spark, train_root), "training-files")
+    index = cut(label_index(files), "label-index")
     write_label_index(index, paths.label_index)
     write_map_file(map_rows(files, index), f"{paths.models}/{paths.name}/map_train.tsv")
-    write_map_file(
-        map_rows(list_class_files(spark, validation_root), index),
-        f"{paths.models}/{paths.name}/map_test.tsv",
-    )
+    files = cut(list_class_files(spark, validation_root), "validation-files")
+    write_map_file(map_rows(files, index), f"{paths.models}/{paths.name}/map_test.tsv")
     passes = training.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
     features = stored(
         featurize(passes, extractor, side, epoch=F.col("epoch")).drop("epoch"), "train-features"

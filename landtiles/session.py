@@ -28,9 +28,12 @@ def job_session(name: str) -> SparkSession:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, once per Spark application."""
+    """Make this package importable in the Python workers of a local session, once.
+
+    On a cluster the package comes with ``spark-submit --py-files``.
+    """
     sc = spark.sparkContext
-    if getattr(sc, "_landtiles_shipped", False):
+    if getattr(sc, "_landtiles_shipped", False) or not sc.master.startswith("local"):
         return
     package = os.path.dirname(os.path.abspath(__file__))
     stage = tempfile.mkdtemp(prefix="landtiles-code-")

@@ -1,9 +1,7 @@
 """A small network file: channel means (output ``z.x``) and a linear layer (output ``scores``)."""
 
-import os
-
 import numpy as np
-
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 from landtiles.session import scratch_path
@@ -60,9 +58,8 @@ def network_bytes(side: int, batch="n") -> bytes:
 
 def network_file(spark: SparkSession, name: str, side: int = 8, batch="n", folder: str | None = None) -> str:
     folder = folder or scratch_path(spark, "network")
-    local = folder.removeprefix("file://").removeprefix("file:")
-    os.makedirs(local, exist_ok=True)
-    path = f"{local}/{name}"
-    with open(path, "wb") as out:
+    target, base = fs.FileSystem.from_uri(folder)
+    target.create_dir(base, recursive=True)
+    with target.open_output_stream(f"{base}/{name}") as out:
         out.write(network_bytes(side, batch))
-    return path
+    return f"{folder}/{name}"

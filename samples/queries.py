@@ -109,18 +109,18 @@ def class_report(spark, sf_dir):
 
 @query
 def confusion_long(spark, sf_dir):
-    return metrics.confusion_matrix(pred_counts(spark, sf_dir))
+    return metrics.confusion_matrix(metrics.stored_counts(view(spark, sf_dir, "pred")))
 
 
 @query
 def confusion_wide(spark, sf_dir):
-    wide = metrics.confusion_wide(pred_counts(spark, sf_dir))
+    wide = metrics.confusion_wide(metrics.stored_counts(view(spark, sf_dir, "pred")))
     return wide.select("label", *(F.col(c).alias(f"pred_{c}") for c in wide.columns[1:]))
 
 
 @query
 def metrics_at_scale(spark, sf_dir):
-    counts = metrics.confusion_counts(view(spark, sf_dir, "pred_big"))
+    counts = metrics.stored_counts(view(spark, sf_dir, "pred_big"))
     outside = metrics.outside_predictions(counts).scalar()
     found = metrics.one_vs_rest(counts).withColumn("n_outside", outside)
     return rounded(found, "precision", "recall", "accuracy")
@@ -128,7 +128,7 @@ def metrics_at_scale(spark, sf_dir):
 
 @query
 def confusion_at_scale(spark, sf_dir):
-    return metrics.confusion_matrix(metrics.confusion_counts(view(spark, sf_dir, "pred_big")))
+    return metrics.confusion_matrix(metrics.stored_counts(view(spark, sf_dir, "pred_big")))
 
 
 # ---- tiles on the ground
@@ -404,6 +404,14 @@ def network_labels(spark, sf_dir):
     return models.apply_network(scores, land_use_index(spark, sf_dir)).select(tile_name(), "label", "pred_label")
 
 
+@query
+def featurize_full_size(spark, sf_dir):
+    """Every tile scaled to the size the networks take."""
+    found = fz.featurize(tiles(spark, sf_dir))
+    total = F.aggregate("features", F.lit(0.0), lambda s, v: s + v.cast("double"))
+    return found.select(tile_name(), "label", F.round(total, 1).alias("total"))
+
+
 # ---- learning
 
 

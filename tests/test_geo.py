@@ -114,11 +114,12 @@ def test_name_with_most_rows_is_split(spark, tmp_path):
         for k, v in small.items():
             spark.conf.set(k, v)
         located = geo.locate(spark.read.parquet(f"{tmp_path}/pred"), spark.read.parquet(f"{tmp_path}/tiles"))
-        rows = located.groupBy().agg(F.count("*").alias("n"), F.count_if(F.col("name") == "hot.png").alias("hot"))
+        rows = located.groupBy().agg(F.count("*").alias("n"), F.count_if(F.col("name") == "hot.png").alias("hot"),
+                                    F.sum(F.length("pred_label")).alias("length"))
         (found,) = rows.collect()
         plan = rows._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    assert (found.n, found.hot) == (n, n // 3)
+    assert (found.n, found.hot, found.length) == (n, n // 3, 32 * n)
     assert "skew=true" in plan
