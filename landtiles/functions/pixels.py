@@ -26,20 +26,6 @@ def stacks(batch: pa.RecordBatch):
         yield rows, np.repeat(tiles, 3, axis=3) if channels == 1 else tiles[..., :3]
 
 
-def resize(tiles: np.ndarray, side: int) -> np.ndarray:
-    """Linear interpolation to side x side, pixel centres aligned, edges repeated."""
-    if tiles.shape[1:3] == (side, side):
-        return tiles.astype(np.float32)
-    for axis in (1, 2):
-        size = tiles.shape[axis]
-        at = np.clip((np.arange(side) + 0.5) * size / side - 0.5, 0, size - 1)
-        low = np.floor(at).astype(int)
-        high = np.minimum(low + 1, size - 1)
-        weight = (at - low).astype(np.float32).reshape([side if a == axis else 1 for a in range(4)])
-        tiles = tiles.take(low, axis) * (1 - weight) + tiles.take(high, axis) * weight
-    return tiles.astype(np.float32)
-
-
 def crop_side(height: int, width: int) -> int:
     return max(1, int(np.floor(CROP_RATIO * min(height, width) + 0.5)))
 
@@ -58,16 +44,31 @@ def crop(tiles: np.ndarray, draws: np.ndarray) -> np.ndarray:
     ]
 
 
-def jitter(tiles: np.ndarray, draws: np.ndarray) -> np.ndarray:
+def unroll(tiles: np.ndarray) -> np.ndarray:
+    """n x height x width x channel to floats in n x channel x height x width."""
+    return np.ascontiguousarray(tiles.transpose(0, 3, 1, 2), dtype=np.float32)
+
+
+def resize(unrolled: np.ndarray, side: int) -> np.ndarray:
+    """Linear interpolation to side x side, pixel centres aligned, edges repeated."""
+    for axis in (2, 3):
+        size = unrolled.shape[axis]
+        if size == side:
+            continue
+        at = np.clip((np.arange(side) + 0.5) * size / side - 0.5, 0, size - 1)
+        low = np.floor(at).astype(int)
+        weight = (at - low).astype(np.float32).reshape((-1, 1) if axis == 2 else -1)
+        below = unrolled.take(low, axis)
+        above = unrolled.take(np.minimum(low + 1, size - 1), axis)
+        unrolled = below + (above - below) * weight
+    return unrolled
+
+
+def jitter(unrolled: np.ndarray, draws: np.ndarray) -> np.ndarray:
     """Change brightness, contrast and saturation of each tile by three draws in [0, 1)."""
     shift = ((2 * draws - 1) * COLOUR_RADIUS).astype(np.float32)
     brightness, contrast, saturation = (shift[:, i].reshape(-1, 1, 1, 1) for i in range(3))
-    mean = tiles.mean(axis=(1, 2, 3), keepdims=True)
-    tiles = (tiles - mean) * (1 + contrast) + mean * (1 + brightness)
-    grey = tiles.mean(axis=3, keepdims=True)
-    return np.clip(grey + (tiles - grey) * (1 + saturation), 0, 255)
-
-
-def unroll(tiles: np.ndarray) -> np.ndarray:
-    """n x height x width x channel to n x channel x height x width."""
-    return np.ascontiguousarray(tiles.transpose(0, 3, 1, 2), dtype=np.float32)
+    mean = unrolled.mean(axis=(1, 2, 3), keepdims=True)
+    changed = (unrolled - mean) * (1 + contrast) + mean * (1 + brightness)
+    grey = changed.mean(axis=1, keepdims=True)
+    return np.clip(grey + (changed - grey) * (1 + saturation), 0, 255)

@@ -19,19 +19,24 @@ _DRAWS = ("top", "left", "brightness", "contrast", "saturation")
 
 
 class BlockFeatures:
-    """Features without a network: means of ``blocks`` x ``blocks`` areas and value histograms."""
+    """Features without a network: means of ``blocks`` x ``blocks`` areas and value histograms.
 
-    def __init__(self, blocks: int = 8, bins: int = 8):
-        self.blocks, self.bins = blocks, bins
+    ``mean`` is what was taken off the pixels before.
+    """
+
+    def __init__(self, blocks: int = 8, bins: int = 8, mean: float = PIXEL_MEAN):
+        self.blocks, self.bins, self.mean = blocks, bins, mean
 
     def __call__(self, tiles: np.ndarray) -> np.ndarray:
         n, channels, side, _ = tiles.shape
-        step = side // self.blocks
-        areas = tiles.reshape(n, channels, self.blocks, step, self.blocks, step)
-        means = areas.mean(axis=(3, 5)).reshape(n, -1)
-        slot = np.clip((tiles + PIXEL_MEAN) * self.bins / 256, 0, self.bins - 1).astype(np.int8)
-        shares = np.stack([(slot == b).mean(axis=(2, 3)) for b in range(self.bins)], axis=2)
-        return np.concatenate([means, shares.reshape(n, -1)], axis=1)
+        edges = np.arange(self.blocks) * side // self.blocks
+        sums = np.add.reduceat(np.add.reduceat(tiles, edges, axis=3), edges, axis=2)
+        sizes = np.diff(edges, append=side)
+        means = sums / np.multiply.outer(sizes, sizes).astype(np.float32)
+        slots = ((tiles + np.float32(self.mean)) * np.float32(self.bins / 256)).astype(np.uint8)
+        slots = slots.reshape(n * channels, -1)
+        shares = [np.count_nonzero(slots == b, axis=1) / side**2 for b in range(self.bins)]
+        return np.concatenate([means.reshape(n, -1), np.stack(shares, 1).reshape(n, -1)], axis=1)
 
 
 class OnnxNetwork:
@@ -108,8 +113,9 @@ def featurize(
                 part = batch.slice(start, TILES_AT_ONCE)
                 ready = np.empty((part.num_rows, 3, side, side), np.float32)
                 for rows, stack in pixels.stacks(part):
-                    ready[rows] = pixels.unroll(_prepared(part, rows, stack, side, changed))
-                found = extractor(ready - np.float32(mean)).astype(np.float32)
+                    ready[rows] = _prepared(part, rows, stack, side, changed)
+                ready -= np.float32(mean)
+                found = extractor(ready).astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in kept] + [_lists(found)], names=kept + ["features"]
                 )
@@ -135,7 +141,7 @@ def augment(tiles: DataFrame, epoch: Column, seed: str = "0", side: int = TILE_S
                 part = batch.slice(start, TILES_AT_ONCE)
                 data = np.empty((part.num_rows, side, side, 3), np.uint8)
                 for rows, stack in pixels.stacks(part):
-                    data[rows] = np.rint(_prepared(part, rows, stack, side, changed))
+                    data[rows] = np.rint(_prepared(part, rows, stack, side, changed)).transpose(0, 2, 3, 1)
                 n = part.num_rows
                 made = {
                     "origin": part.column("_origin"),
@@ -174,10 +180,10 @@ def _flat(tiles: DataFrame, kept: list[str], epoch: Column | None, seed: str) ->
 
 def _prepared(part: pa.RecordBatch, rows, stack: np.ndarray, side: int, changed: bool) -> np.ndarray:
     if not changed:
-        return pixels.resize(stack, side)
+        return pixels.resize(pixels.unroll(stack), side)
     drawn = np.stack([part.column(f"_{d}").to_numpy()[rows] for d in _DRAWS], axis=1)
-    scaled = pixels.resize(pixels.crop(stack, drawn[:, :2]), side)
-    return pixels.jitter(scaled, drawn[:, 2:])
+    cropped = pixels.unroll(pixels.crop(stack, drawn[:, :2]))
+    return pixels.jitter(pixels.resize(cropped, side), drawn[:, 2:])
 
 
 def _lists(values: np.ndarray) -> pa.ListArray:

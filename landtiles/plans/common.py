@@ -1,16 +1,42 @@
 """Steps that several jobs share."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from landtiles.fixed import FEATURE_LAYER
 from landtiles.operators.featurize import BlockFeatures, OnnxNetwork
 from landtiles.operators.metrics import confusion_counts, overall_accuracy
 from landtiles.operators.runlog import append_metrics, scalar_metrics, value_metrics
 from landtiles.session import cut
-from landtiles.sinks.tables import ModelPaths, write_test_predictions
+from landtiles.sinks.tables import ModelPaths, evened, write_test_predictions
+from landtiles.sources.images import (
+    list_class_files,
+    read_flat_tiles,
+    read_labelled_tiles,
+    read_packed_tiles,
+)
 from landtiles.sources.tables import read_test_predictions
 
 
+def labelled_tiles(spark: SparkSession, root: str, fraction: float, packed: bool) -> DataFrame:
+    read = read_packed_tiles if packed else read_labelled_tiles
+    return read(spark, root, fraction)
+
+
+def flat_tiles(spark: SparkSession, root: str, fraction: float, packed: bool) -> DataFrame:
+    read = read_packed_tiles if packed else read_flat_tiles
+    return read(spark, root, fraction)
+
+
+def class_files(spark: SparkSession, root: str, packed: bool) -> DataFrame:
+    """``filename, label``, stored, since it is used several times."""
+    if packed:
+        files = read_packed_tiles(spark, root).select(F.col("filepath").alias("filename"), "label")
+    else:
+        files = list_class_files(spark, root)
+    return cut(files, "class-files")
+
+
 def feature_extractor(spark: SparkSession, networks: str | None, pretrained: str):
     """The frozen network of this type, or block features where no networks are given."""
     if networks is None:
@@ -20,7 +46,7 @@ def feature_extractor(spark: SparkSession, networks: str | None, pretrained: str
 
 def stored(features: DataFrame, purpose: str) -> DataFrame:
     """Features written once; a fit and its evaluation then never featurize again."""
-    return cut(features, purpose)
+    return cut(evened(features), purpose)
 
 
 def record(spark: SparkSession, paths: ModelPaths, run_id: str, **values) -> None:

@@ -23,10 +23,16 @@ from landtiles.operators.models import (
     train_dense_layers,
 )
 from landtiles.plans.checks import check_fraction, check_retraining
-from landtiles.plans.common import evaluate, feature_extractor, record, stored
+from landtiles.plans.common import (
+    class_files,
+    evaluate,
+    feature_extractor,
+    labelled_tiles,
+    record,
+    stored,
+)
 from landtiles.session import cut, job_session
 from landtiles.sinks.tables import ModelPaths, write_card, write_label_index, write_map_file
-from landtiles.sources.images import list_class_files, read_labelled_tiles
 
 
 def retrain(
@@ -40,6 +46,7 @@ def retrain(
     fraction: float = 1.0,
     networks: str | None = None,
     side: int = TILE_SIDE,
+    packed: bool = False,
 ) -> DataFrame:
     """Returns one row ``n_total, n_correct, accuracy`` of the validation set.
 
@@ -49,8 +56,8 @@ def retrain(
     check_retraining(pretrained, depth, epochs)
     check_fraction(fraction)
     extractor = feature_extractor(spark, networks, pretrained)
-    training = read_labelled_tiles(spark, train_root, fraction)
-    validation = read_labelled_tiles(spark, validation_root, fraction)
+    training = labelled_tiles(spark, train_root, fraction, packed)
+    validation = labelled_tiles(spark, validation_root, fraction, packed)
 
     write_card(
         spark,
@@ -69,11 +76,11 @@ def retrain(
         pretrained_model_type=pretrained, retraining_type=depth,
         output_model_name=paths.name, num_epochs=epochs, sample_frac=fraction,
     )
-    files = cut(list_class_files(spark, train_root), "training-files")
+    files = class_files(spark, train_root, packed)
     index = cut(label_index(files), "label-index")
     write_label_index(index, paths.label_index)
     write_map_file(map_rows(files, index), f"{paths.models}/{paths.name}/map_train.tsv")
-    files = cut(list_class_files(spark, validation_root), "validation-files")
+    files = class_files(spark, validation_root, packed)
     write_map_file(map_rows(files, index), f"{paths.models}/{paths.name}/map_test.tsv")
     passes = training.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
     features = stored(
@@ -99,6 +106,7 @@ def main(argv=None) -> None:
     parser.add_argument("-o", "--name", required=True, help="name of the model")
     parser.add_argument("-f", "--fraction", type=float, default=1.0, help="share of tiles to use")
     parser.add_argument("-n", "--epochs", type=int, default=DEFAULT_EPOCHS)
+    parser.add_argument("--packed", action="store_true", help="roots are tables of packed tiles")
     args = parser.parse_args(argv)
     check_fraction(args.fraction)
     check_retraining(args.pretrained, args.retraining, args.epochs)
@@ -106,6 +114,7 @@ def main(argv=None) -> None:
         job_session("retrain"), args.train_root, args.validation_root,
         ModelPaths(args.models, args.results, args.name),
         args.pretrained, args.retraining, args.epochs, args.fraction, args.networks,
+        packed=args.packed,
     ).show()
 
 

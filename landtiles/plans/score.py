@@ -9,10 +9,9 @@ from landtiles.fixed import CARD_FIELDS, SOURCE_CLASSIFIER, SOURCE_NETWORK, TILE
 from landtiles.operators.featurize import OnnxNetwork, featurize
 from landtiles.operators.models import apply_classifier, apply_network, load_model
 from landtiles.plans.checks import check_fraction
-from landtiles.plans.common import feature_extractor, record
+from landtiles.plans.common import feature_extractor, flat_tiles, record
 from landtiles.session import job_session
 from landtiles.sinks.tables import ModelPaths, write_predictions
-from landtiles.sources.images import read_flat_tiles
 from landtiles.sources.tables import (
     card_fields,
     card_rows,
@@ -36,6 +35,7 @@ def score(
     networks: str | None = None,
     side: int = TILE_SIDE,
     source_names: dict[str, str] | None = None,
+    packed: bool = False,
 ) -> DataFrame:
     """Writes ``filepath, pred_label`` and returns them as read back.
 
@@ -43,7 +43,7 @@ def score(
     or ``dnn``.
     """
     check_fraction(fraction)
-    tiles = read_flat_tiles(spark, tiles_root, fraction)
+    tiles = flat_tiles(spark, tiles_root, fraction, packed)
     card = model_card(spark, paths)
     source = (source_names or {}).get(card["model_source"], card["model_source"])
     if source == SOURCE_NETWORK:
@@ -71,12 +71,14 @@ def main(argv=None) -> None:
     parser.add_argument("-f", "--fraction", type=float, default=1.0, help="share of tiles to use")
     parser.add_argument("--source-name", action="append", default=[], metavar="OTHER=KNOWN",
                         help="other spelling of a model source on a card")
+    parser.add_argument("--packed", action="store_true", help="roots are tables of packed tiles")
     args = parser.parse_args(argv)
     check_fraction(args.fraction)
     score(
         job_session("score"), args.tiles_root, ModelPaths(args.models, args.results, args.name),
         args.fraction, args.networks,
         source_names=dict(pair.split("=", 1) for pair in args.source_name),
+        packed=args.packed,
     )
 
 

@@ -9,10 +9,9 @@ from landtiles.fixed import CLASSIFIER_TYPES, FEATURE_LAYER, SOURCE_CLASSIFIER,
 from landtiles.operators.featurize import featurize
 from landtiles.operators.models import apply_classifier, classifier, save_model, train_classifier
 from landtiles.plans.checks import check_classifier, check_fraction, check_pretrained
-from landtiles.plans.common import evaluate, feature_extractor, record, stored
+from landtiles.plans.common import evaluate, feature_extractor, labelled_tiles, record, stored
 from landtiles.session import job_session
 from landtiles.sinks.tables import ModelPaths, write_card
-from landtiles.sources.images import read_labelled_tiles
 
 
 def train(
@@ -25,14 +24,15 @@ def train(
     fraction: float = 1.0,
     networks: str | None = None,
     side: int = TILE_SIDE,
+    packed: bool = False,
 ) -> DataFrame:
     """Returns one row ``n_total, n_correct, accuracy`` of the test set."""
     check_pretrained(pretrained)
     check_classifier(kind)
     check_fraction(fraction)
     extractor = feature_extractor(spark, networks, pretrained)
-    training = read_labelled_tiles(spark, train_root, fraction)
-    testing = read_labelled_tiles(spark, test_root, fraction)
+    training = labelled_tiles(spark, train_root, fraction, packed)
+    testing = labelled_tiles(spark, test_root, fraction, packed)
 
     write_card(
         spark,
@@ -70,12 +70,14 @@ def main(argv=None) -> None:
     parser.add_argument("-m", "--classifier", required=True, choices=CLASSIFIER_TYPES)
     parser.add_argument("-o", "--name", required=True, help="name of the model")
     parser.add_argument("-f", "--fraction", type=float, default=1.0, help="share of tiles to use")
+    parser.add_argument("--packed", action="store_true", help="roots are tables of packed tiles")
     args = parser.parse_args(argv)
     check_fraction(args.fraction)
     train(
         job_session("train"), args.train_root, args.test_root,
         ModelPaths(args.models, args.results, args.name),
         args.pretrained, args.classifier, args.fraction, args.networks,
+        packed=args.packed,
     ).show()
 
 

@@ -45,11 +45,11 @@ class ModelPaths:
 
 
 def write_test_predictions(rows: DataFrame, path: str) -> None:
-    _with_header(rows.select("filepath", "label", "pred_label"), path)
+    _with_header(evened(rows.select("filepath", "label", "pred_label")), path)
 
 
 def write_predictions(rows: DataFrame, path: str) -> None:
-    _with_header(rows.select("filepath", "pred_label"), path)
+    _with_header(evened(rows.select("filepath", "pred_label")), path)
 
 
 def write_tile_index(rows: DataFrame, path: str) -> None:
@@ -71,6 +71,24 @@ def write_card(spark: SparkSession, path: str, values: dict[str, str]) -> None:
     spark.createDataFrame(lines, "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
+def append_tiles(tiles: DataFrame, path: str) -> None:
+    """Add decoded tiles to a Parquet table.
+
+    A file listing is held on the driver, so a set of very many tiles is brought into one
+    table folder by folder and read from there with ``read_packed_tiles``.
+    """
+    tiles.write.mode("append").parquet(path)
+
+
+def evened(rows: DataFrame) -> DataFrame:
+    """Rows spread over files of useful size.
+
+    Tasks over images hand out very few bytes each; without this every one of them would
+    leave a small file behind.
+    """
+    return rows.hint("rebalance")
+
+
 def _with_header(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").csv(path, header=True, escape='"')
 

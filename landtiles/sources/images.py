@@ -9,12 +9,15 @@ from landtiles.functions.paths import base_name, class_name, file_path
 from landtiles.functions.vectors import hash_fraction
 
 
-def read_labelled_tiles(spark: SparkSession, root: str, fraction: float = 1.0) -> DataFrame:
+def read_labelled_tiles(
+    spark: SparkSession, root: str, fraction: float = 1.0, classes: str = "*"
+) -> DataFrame:
     """``filepath, label, image`` of ``<root>/<class>/<tile>.png``.
 
+    ``classes`` is a pattern for the class folders to read.
     Files that are no images are left out; ``unreadable_tiles`` counts them.
     """
-    tiles = _scan(spark, root, labelled=True, drop_invalid=True)
+    tiles = _scan(spark, root, drop_invalid=True, classes=classes)
     key = F.concat_ws("/", class_name(file_path()), base_name(file_path()))
     return sampled(tiles, key, fraction).select(
         file_path().alias("filepath"), class_name(file_path()).alias("label"), "image"
@@ -23,14 +26,22 @@ def read_labelled_tiles(spark: SparkSession, root: str, fraction: float = 1.0) -
 
 def read_flat_tiles(spark: SparkSession, root: str, fraction: float = 1.0) -> DataFrame:
     """``filepath, image`` of ``<root>/<tile>.png``; ``filepath`` is the file name only."""
-    tiles = _scan(spark, root, labelled=False, drop_invalid=True)
+    tiles = _scan(spark, root, drop_invalid=True)
     name = base_name(file_path())
     return sampled(tiles, name, fraction).select(name.alias("filepath"), "image")
 
 
+def read_packed_tiles(spark: SparkSession, path: str, fraction: float = 1.0) -> DataFrame:
+    """Tiles that ``append_tiles`` stored; the sample is the one the files would give."""
+    tiles = spark.read.parquet(path)
+    name = base_name(F.col("filepath"))
+    key = F.concat_ws("/", "label", name) if "label" in tiles.columns else name
+    return sampled(tiles, key, fraction)
+
+
 def unreadable_tiles(spark: SparkSession, root: str, labelled: bool) -> DataFrame:
     """``filepath`` of the PNG files that do not decode."""
-    tiles = _scan(spark, root, labelled, drop_invalid=False)
+    tiles = _scan(spark, root, drop_invalid=False, classes="*" if labelled else None)
     return tiles.where(F.col("image.height") < 0).select(file_path().alias("filepath"))
 
 
@@ -54,16 +65,18 @@ def sampled(rows: DataFrame, key: Column, fraction: float) -> DataFrame:
     return rows if fraction == 1.0 else rows.where(hash_fraction(key) < fraction)
 
 
-def _scan(spark: SparkSession, root: str, labelled: bool, drop_invalid: bool) -> DataFrame:
+def _scan(
+    spark: SparkSession, root: str, drop_invalid: bool, classes: str | None = None
+) -> DataFrame:
     """Only folders are named to the reader: a list of all files would be made on the driver."""
     reader = (
         spark.read.format("image")
         .option("dropInvalid", drop_invalid)
         .option("pathGlobFilter", "*.png")
     )
-    if labelled:
-        return reader.load(f"{root}/*").where(_in_class_folder(root))
-    return reader.load(root)
+    if classes is None:
+        return reader.load(root)
+    return reader.load(f"{root}/{classes}").where(_in_class_folder(root))
 
 
 def _in_class_folder(root: str) -> Column:

@@ -79,6 +79,8 @@ _CARD = """select output_model_name as model, output_model_name, model_source, p
 
 _TILE = "'tile_' || vec_id || '.png'"
 _KEY = f"'class_' || label || '/' || {_TILE}"
+_BGR = """array_to_string(
+    list_transform(range(1, 65), lambda i: printf('%02X%02X%02X', b[i], g[i], r[i])), '')"""
 _SCORES = ", ".join(
     f"({w[0]}) * blue + ({w[1]}) * green + ({w[2]}) * red + ({bias})"
     for w, bias in zip(WEIGHTS.T.astype(int).tolist(), BIAS.astype(int).tolist())
@@ -239,10 +241,10 @@ ORACLES = {
                    list_sum(r)::bigint as red, list_sum(g)::bigint as green, list_sum(b)::bigint as blue from tile_pixels""",
     ),
     "flat_images": with_views(
-        "tile_pixels",
-        f"""select {_TILE} as name, 8 as height, 3 as channels,
-                   array_to_string(list_transform(range(1, 65), lambda i: printf('%02X%02X%02X', b[i], g[i], r[i])), '') as bgr
-            from tile_pixels""",
+        "tile_pixels", f"select {_TILE} as name, 8 as height, 3 as channels, {_BGR} as bgr from tile_pixels"
+    ),
+    "packed_tiles": with_views(
+        "tile_pixels", f"select {_TILE} as name, 'class_' || label as label, {_BGR} as bgr from tile_pixels"
     ),
     "sampled_tiles": with_views(
         "tile_pixels",

@@ -10,6 +10,7 @@ from landtiles.operators import featurize as fz
 from landtiles.operators import geo, labels, metrics, models, runlog
 from landtiles.plans.analyze import analyze
 from landtiles.plans.log_report import log_report
+from landtiles.plans.pack import pack
 from landtiles.plans.retrain import retrain
 from landtiles.plans.score import score
 from landtiles.plans.train import train
@@ -319,7 +320,7 @@ def image_stats(spark, sf_dir):
     """Size and channel sums from the block means: 64 blocks of one pixel per channel."""
     found = fz.featurize(
         tiles(spark, sf_dir).withColumn("height", F.col("image.height")).withColumn("width", F.col("image.width")),
-        fz.BlockFeatures(blocks=SIDE), SIDE, mean=0.0,
+        fz.BlockFeatures(blocks=SIDE, mean=0.0), SIDE, mean=0.0,
     )
 
     def channel(i):
@@ -341,6 +342,15 @@ def flat_images(spark, sf_dir):
     )
 
 
+@query
+def packed_tiles(spark, sf_dir):
+    """Tiles stored as a table in two passes over class folders, and read from there."""
+    path = scratch_path(spark, "packed")
+    pack(spark, tile_folder(spark, sf_dir), path, ["class_[0-4]", "class_[5-9]"])
+    found = images.read_packed_tiles(spark, path)
+    return found.select(tile_name(), "label", F.hex("image.data").alias("bgr"))
+
+
 @query
 def sampled_tiles(spark, sf_dir):
     found = images.read_labelled_tiles(spark, tile_folder(spark, sf_dir), fraction=0.3)

@@ -211,12 +211,13 @@ def test_crop_and_jitter_by_brute_force():
     for i in range(6):
         top, left = int(draws[i, 0] * 4), int(draws[i, 1] * 14)
         assert np.array_equal(cropped[i], tiles[i, top : top + 17, left : left + 17])
-    neutral = pixels.jitter(tiles, np.full((6, 3), 0.5))
-    assert np.allclose(neutral, tiles, atol=1e-2)
-    brighter = pixels.jitter(np.full((1, 4, 4, 3), 100, np.float32), np.array([[1.0, 0.5, 0.5]]))
+    unrolled = pixels.unroll(tiles)
+    neutral = pixels.jitter(unrolled, np.full((6, 3), 0.5))
+    assert np.allclose(neutral, unrolled, atol=1e-2)
+    brighter = pixels.jitter(np.full((1, 3, 4, 4), 100, np.float32), np.array([[1.0, 0.5, 0.5]]))
     assert np.allclose(brighter, 120, atol=1e-3)
-    grey = pixels.jitter(tiles, np.array([[0.5, 0.5, 0.0]] * 6))
-    assert grey.std(axis=3).mean() < tiles.std(axis=3).mean()
+    grey = pixels.jitter(unrolled, np.array([[0.5, 0.5, 0.0]] * 6))
+    assert grey.std(axis=1).mean() < unrolled.std(axis=1).mean()
 
 
 def test_augmented_tiles_feed_featurize_alike(spark, made):

@@ -10,6 +10,7 @@ from landtiles.operators.labels import label_index
 from landtiles.plans import checks
 from landtiles.plans import train as train_job
 from landtiles.plans.analyze import analyze
+from landtiles.plans.pack import pack
 from landtiles.plans.retrain import retrain
 from landtiles.plans.score import model_card, score
 from landtiles.plans.train import train
@@ -173,6 +174,23 @@ def test_retrain(spark, tiles, tmp_path, depth):
     assert np.mean([expected(n) == p for n, p in found.items()]) >= 0.8
 
 
+def test_packed_tiles_give_the_same_results(spark, tiles, tmp_path):
+    tables = {name: f"{tmp_path}/{name}" for name in ("train", "test", "county")}
+    pack(spark, f"{tiles}/train", tables["train"], CLASSES)
+    pack(spark, f"{tiles}/test", tables["test"], ["[BD]*", "Forest"])
+    pack(spark, f"{tiles}/county", tables["county"], None)
+    found = []
+    for root, packed in ((None, False), (tables, True)):
+        roots = root or {name: f"{tiles}/{name}" for name in tables}
+        paths = sinks.ModelPaths(f"{tmp_path}/{packed}", f"{tmp_path}/{packed}", "m")
+        row = train(spark, roots["train"], roots["test"], paths, "alexnet", "logisticregression",
+                    0.7, side=SIDE, packed=packed).first()
+        scored = dict(score(spark, roots["county"], paths, 0.7, side=SIDE, packed=packed).collect())
+        found.append((row.n_total, sorted(scored)))
+        assert row.accuracy > 0.9
+    assert found[0] == found[1]
+
+
 def network_model(spark, tmp_path, source):
     paths = sinks.ModelPaths(f"{tmp_path}/models", f"{tmp_path}/results", "n")
     network_file(spark, "retrained.onnx", SIDE, folder=f"{paths.models}/n")
