@@ -45,8 +45,11 @@ def feature_extractor(spark: SparkSession, networks: str | None, pretrained: str
 
 
 def stored(features: DataFrame, purpose: str) -> DataFrame:
-    """Features written once; a fit and its evaluation then never featurize again."""
-    return cut(evened(features), purpose)
+    """Features written once, so that the passes of a fit do not featurize again."""
+    kept = cut(evened(features), purpose)
+    if kept.isEmpty():
+        raise ValueError("no readable tiles to train on")
+    return kept
 
 
 def record(spark: SparkSession, paths: ModelPaths, run_id: str, **values) -> None:

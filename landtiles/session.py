@@ -33,9 +33,10 @@ def ship_package(spark: SparkSession) -> None:
     On a cluster the package comes with ``spark-submit --py-files``.
     """
     sc = spark.sparkContext
-    if getattr(sc, "_landtiles_shipped", False) or not sc.master.startswith("local"):
-        return
     package = os.path.dirname(os.path.abspath(__file__))
+    from_archive = not os.path.isdir(package)
+    if getattr(sc, "_landtiles_shipped", False) or from_archive or not sc.master.startswith("local"):
+        return
     stage = tempfile.mkdtemp(prefix="landtiles-code-")
     archive = shutil.make_archive(
         os.path.join(stage, "landtiles"), "zip", os.path.dirname(package), "landtiles"

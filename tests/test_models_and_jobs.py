@@ -225,6 +225,12 @@ def test_missing_inputs_fail_before_any_work(spark, tiles, tmp_path):
     assert not (tmp_path / "models").exists() and not (tmp_path / "results").exists()
 
 
+def test_no_tiles_in_class_folders(spark, tiles, tmp_path):
+    paths = sinks.ModelPaths(f"{tmp_path}/models", f"{tmp_path}/results", "m")
+    with pytest.raises(ValueError, match="no readable tiles"):
+        train(spark, f"{tiles}/county", f"{tiles}/test", paths, "resnet18", "randomforest", side=SIDE)
+
+
 @pytest.mark.parametrize("call", [
     lambda: checks.check_pretrained("vgg"),
     lambda: checks.check_classifier("svm"),
