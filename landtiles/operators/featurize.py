@@ -1,8 +1,9 @@
 """Image tiles to feature vectors or class scores, one pass per Arrow batch."""
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
@@ -40,29 +41,31 @@ class BlockFeatures:
 
 
 class OnnxNetwork:
-    """A network file, sent to each executor once; ``output`` names the layer to return.
+    """A network file, broadcast to the executors; ``output`` names the layer to return.
 
     Without a name the first output is returned. Each Python worker opens one session.
     A network built for a fixed batch size gets its last batch filled up with zeros.
     """
 
-    _sessions: dict = {}
+    _opened: dict = {}
 
     def __init__(self, spark: SparkSession, path: str, output: str | None = None):
-        spark.sparkContext.addFile(path)
-        self.file = path.rstrip("/").rsplit("/", 1)[-1]
+        content = bytes(spark.read.format("binaryFile").load(path).first().content)
+        self.key = hashlib.md5(content).hexdigest()
+        self.content = spark.sparkContext.broadcast(content)
         self.output = output
 
     def _session(self):
-        if self.file not in OnnxNetwork._sessions:
+        if self.key not in OnnxNetwork._opened:
             import onnxruntime
 
             options = onnxruntime.SessionOptions()
             options.intra_op_num_threads = 1  # Spark runs one task per core
-            OnnxNetwork._sessions[self.file] = onnxruntime.InferenceSession(
-                SparkFiles.get(self.file), options, providers=["CPUExecutionProvider"]
+            session = onnxruntime.InferenceSession(
+                self.content.value, options, providers=["CPUExecutionProvider"]
             )
-        return OnnxNetwork._sessions[self.file]
+            OnnxNetwork._opened = {self.key: session}
+        return OnnxNetwork._opened[self.key]
 
     def __call__(self, tiles: np.ndarray) -> np.ndarray:
         session = self._session()

@@ -84,9 +84,9 @@ def raster_lines(pixels: DataFrame, block: int = LINE_BLOCK) -> DataFrame:
     """``row_idx, block_idx, pixels``: the whole map, black where no tile lies.
 
     ``pixels`` is an array of ``r, g, b`` from left to right. A line wider than ``block``
-    spans several rows, numbered by ``block_idx``.
+    spans several rows, numbered by ``block_idx``. The pixels are read twice, first for
+    the size of the map.
     """
-    pixels = cut(pixels.select("row_idx", "col_idx", "r", "g", "b"), "painted")
     size = pixels.agg(
         F.coalesce(F.max("row_idx"), F.lit(-1)).alias("last_row"),
         F.coalesce(F.max("col_idx"), F.lit(-1)).alias("last_col"),

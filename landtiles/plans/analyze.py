@@ -13,7 +13,7 @@ from landtiles.operators.metrics import (
     overall_accuracy,
     stored_counts,
 )
-from landtiles.session import cut, job_session
+from landtiles.session import job_session
 from landtiles.sinks.tables import ModelPaths
 from landtiles.sources.tables import read_predictions, read_test_predictions, read_tile_index
 
@@ -21,25 +21,27 @@ from landtiles.sources.tables import read_predictions, read_test_predictions, re
 def analyze(
     spark: SparkSession, paths: ModelPaths, tile_index: str, on_unknown: str = "error"
 ) -> dict[str, DataFrame]:
-    """Writes and returns the reports; the pair counts and the pixels are computed once."""
+    """Writes the reports and returns them as stored; later ones build on earlier ones."""
     predictions = read_predictions(spark, paths.predictions)
     tiles = read_tile_index(spark, tile_index)
     tested = read_test_predictions(spark, paths.test_predictions)
 
+    def report(name: str, frame: DataFrame) -> DataFrame:
+        return _written(frame, f"{paths.results}/{paths.name}_{name}")
+
     counts = stored_counts(tested)
-    per_class = cut(one_vs_rest(counts), "per-class")
-    pixels = cut(pixel_table(locate(predictions, tiles), on_unknown), "map-pixels")
-    reports = {
-        "accuracy": overall_accuracy(counts),
+    per_class = report("per_class", one_vs_rest(counts))
+    pixels = report("pixels", pixel_table(locate(predictions, tiles), on_unknown))
+    return {
+        "accuracy": report("accuracy", overall_accuracy(counts)),
         "per_class": per_class,
-        "class_report": class_report(per_class),
-        "confusion": confusion_matrix(counts),
-        "outside": outside_predictions(counts),
-        "join_report": join_report(predictions, tiles),
+        "class_report": report("class_report", class_report(per_class)),
+        "confusion": report("confusion", confusion_matrix(counts)),
+        "outside": report("outside", outside_predictions(counts)),
+        "join_report": report("join_report", join_report(predictions, tiles)),
         "pixels": pixels,
-        "map_lines": raster_lines(pixels),
+        "map_lines": report("map_lines", raster_lines(pixels)),
     }
-    return {name: _written(frame, f"{paths.results}/{paths.name}_{name}") for name, frame in reports.items()}
 
 
 def _written(frame: DataFrame, path: str) -> DataFrame:

@@ -41,13 +41,13 @@ def _node(kind: str, inputs: list[str], output: str) -> bytes:
     return b"".join(_field(1, i) for i in inputs) + _field(2, output) + _field(4, kind)
 
 
-def network_bytes(side: int, batch="n") -> bytes:
+def network_bytes(side: int, batch="n", weights: np.ndarray = WEIGHTS) -> bytes:
     graph = (
         _field(1, _node("GlobalAveragePool", ["x"], "pooled"))
         + _field(1, _node("Flatten", ["pooled"], "z.x"))
         + _field(1, _node("Gemm", ["z.x", "W", "b"], "scores"))
         + _field(2, "means")
-        + _field(5, _tensor("W", WEIGHTS))
+        + _field(5, _tensor("W", weights))
         + _field(5, _tensor("b", BIAS))
         + _field(11, _value("x", [batch, 3, side, side]))
         + _field(12, _value("scores", [batch, WEIGHTS.shape[1]]))

@@ -139,7 +139,8 @@ ORACLES = {
     "argmax_label": with_views(
         "scores",
         """, classes as (select label, row_number() over (order by label) - 1 as idx
-                         from (select distinct 'class_' || label as label from scores))
+                         from (select distinct 'class_' || lpad((generate_subscripts(scores, 1) - 1)::varchar, 2, '0') as label
+                               from scores))
            select vec_id, s.idx, c.label as pred_label
            from (select vec_id, (list_position(scores, list_max(scores)) - 1)::bigint as idx from scores) s
            join classes c on c.idx = s.idx""",

@@ -79,7 +79,9 @@ def hash_sample(spark, sf_dir):
 @query
 def argmax_label(spark, sf_dir):
     scores = view(spark, sf_dir, "scores")
-    index = labels.label_index(scores.select(F.concat(F.lit("class_"), "label").alias("label")))
+    positions = scores.select(F.posexplode("scores").alias("position", "score"))
+    name = F.concat(F.lit("class_"), F.lpad(F.col("position").cast("string"), 2, "0"))
+    index = labels.label_index(positions.select(name.alias("label")))
     return labels.predict_label(scores, "scores", index).select(
         "vec_id", argmax(F.col("scores")).cast("bigint").alias("idx"), "pred_label"
     )

@@ -11,7 +11,7 @@ from landtiles.functions import pixels
 from landtiles.operators import featurize as fz
 from landtiles.operators import models
 from landtiles.sources import images
-from samples.network import BIAS, WEIGHTS, network_file
+from samples.network import BIAS, WEIGHTS, network_bytes, network_file
 
 
 def png(tile: np.ndarray) -> bytes:
@@ -180,6 +180,20 @@ def test_network_layers(spark, made, batch):
         assert np.allclose(outer[name].features, means @ WEIGHTS + BIAS, atol=1e-2)
 
 
+def test_two_networks_with_one_file_name(spark, made, tmp_path):
+    root, _ = made
+    paths = []
+    for i, weights in enumerate((WEIGHTS, WEIGHTS * 2)):
+        (tmp_path / str(i)).mkdir()
+        path = tmp_path / str(i) / "same.onnx"
+        path.write_bytes(network_bytes(8, weights=weights))
+        paths.append(str(path))
+    tile_rows = images.read_labelled_tiles(spark, root)
+    one, two = (found_by_name(fz.featurize(tile_rows, fz.OnnxNetwork(spark, p), 8)) for p in paths)
+    for name in one:
+        assert np.allclose((np.array(one[name].features) - BIAS) * 2, np.array(two[name].features) - BIAS, atol=1e-2)
+
+
 def test_network_scores_to_labels(spark, made):
     root, _ = made
     index = spark.createDataFrame([(f"k{i}", i) for i in range(6)], "label string, idx bigint")
