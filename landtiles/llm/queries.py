@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landtiles.llm import language, quality, rules, toxicity
+from landtiles.llm import grace, language, quality, rules, toxicity
 from landtiles.llm.common import documents, fold
 
 QUERIES = {}
@@ -48,3 +48,16 @@ def op10_language_id(spark, sf_dir):
     docs = documents(spark, sf_dir)
     found = language.identify(docs, language.fit_languages(docs))
     return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op1_exact_dedup(spark, sf_dir):
+    found = grace.exact_groups(documents(spark, sf_dir))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+ORACLES["op1_exact_dedup"] = """
+select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
+       row_number() over (partition by content order by doc_id desc) = 1 as kept, sha256(content) as text_sha256
+from (select doc_id, coalesce(text, '') as content from documents) window same as (partition by content)
+"""
