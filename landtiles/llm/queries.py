@@ -3,8 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landtiles.llm import grace, language, quality, rules, toxicity
+from landtiles.llm import grace, language, packing, quality, rules, sharding, toxicity
 from landtiles.llm.common import documents, fold
+from landtiles.session import cut
 
 QUERIES = {}
 ORACLES = {}
@@ -61,3 +62,22 @@ select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_siz
        row_number() over (partition by content order by doc_id desc) = 1 as kept, sha256(content) as text_sha256
 from (select doc_id, coalesce(text, '') as content from documents) window same as (partition by content)
 """
+
+
+@query
+def op2_packing(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    pieces = packing.token_pieces(docs)
+    digests = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.assign_sequences(digests, packing.group_count(docs))
+
+
+@query
+def op3_sharding(spark, sf_dir):
+    crc = F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32")
+    rows = sharding.keyed(documents(spark, sf_dir)).select("doc_id", "size", crc, "high", "low")
+    rows = cut(rows, "order")
+    placed = sharding.numbered(rows, sharding.find_splitters(rows, sharding.SHARDS))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
