@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landtiles.llm import grace, language, packing, quality, rules, sharding, toxicity
+from landtiles.llm import chosenpath, grace, language, packing, quality, rules, sharding, toxicity
 from landtiles.llm.common import documents, fold
 from landtiles.session import cut
 
@@ -81,3 +81,8 @@ def op3_sharding(spark, sf_dir):
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query
+def op6_near_dedup(spark, sf_dir):
+    return chosenpath.near_groups(documents(spark, sf_dir))
