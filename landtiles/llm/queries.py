@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landtiles.llm import chosenpath, grace, language, packing, quality, rules, sharding, toxicity
+from landtiles.llm import chosenpath, grace, interpolation, language, packing, quality, rules, sharding, toxicity
 from landtiles.llm.common import documents, fold
 from landtiles.session import cut
 
@@ -86,3 +86,8 @@ def op3_sharding(spark, sf_dir):
 @query
 def op6_near_dedup(spark, sf_dir):
     return chosenpath.near_groups(documents(spark, sf_dir))
+
+
+@query
+def op7_lm_scoring(spark, sf_dir):
+    return interpolation.scores(documents(spark, sf_dir))
