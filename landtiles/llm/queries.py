@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landtiles.llm import chosenpath, grace, interpolation, language, packing, quality, rules, sharding, toxicity
+from landtiles.llm import chosenpath, grace, interpolation, language, packing, pieces, quality, rules, sharding, toxicity
 from landtiles.llm.common import documents, fold
 from landtiles.session import cut
 
@@ -91,3 +91,17 @@ def op6_near_dedup(spark, sf_dir):
 @query
 def op7_lm_scoring(spark, sf_dir):
     return interpolation.scores(documents(spark, sf_dir))
+
+
+@query
+def op8_sentencepiece(spark, sf_dir):
+    rows = pieces.decoded(pieces.encoded(documents(spark, sf_dir)))
+    text = F.coalesce("text", F.lit(""))
+    return rows.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.crc32(text).alias("text_crc32"),
+        F.crc32("decoded").alias("decoded_crc32"),
+        (F.col("decoded") == text).alias("lossless"),
+    )
