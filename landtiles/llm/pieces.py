@@ -1,7 +1,7 @@
 """Sampled SentencePiece segmentation by forward filtering and backward sampling, and lossless decoding.
 
-The lattice of a text has an edge for every piece that matches its bytes and one for every single byte, so each
-text has a path. The forward pass sums path probabilities up to each byte; the backward pass draws an edge at a
+The lattice of a text has an edge for every piece that matches its bytes, and for characters that are no
+piece one for each byte, so each text has a path. The forward pass sums path probabilities up to each byte; the backward pass draws an edge at a
 time from the end, with random numbers that are a hash of row key, place and step. The same row is cut the same way
 in every run and layout.
 
@@ -31,6 +31,7 @@ BLANK_SIGN = "▁"
 RANK_SHIFT = 10.0
 BYTE_PENALTY = 12.0  # nats that a byte piece costs above the rarest piece
 SEED = 0
+CHARACTER_SIZE = np.select([np.arange(256) < 0x80, np.arange(256) < 0xE0, np.arange(256) < 0xF0], [1, 2, 3], 4)
 _models = {}
 
 
@@ -90,9 +91,8 @@ class Lattice:
 
     source: np.ndarray
     piece: np.ndarray
-    running: np.ndarray  # number of the end, plus the probability of this and earlier edges there
-    number: np.ndarray  # of each place in the buffer that is an end
-    last: np.ndarray  # the last edge of each end
+    running: np.ndarray  # the probability of this and earlier edges to the same end
+    first: np.ndarray  # the first edge to each place of the buffer
 
 
 def build_lattice(pieces: Pieces, texts: Texts, start: np.ndarray, end: np.ndarray) -> Lattice:
@@ -100,41 +100,53 @@ def build_lattice(pieces: Pieces, texts: Texts, start: np.ndarray, end: np.ndarr
     size = end - start
     place = np.repeat(start - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
     limit, origin = np.repeat(end, size), np.repeat(start, size)
-    sources, targets, found, origins = [place], [place + 1], [pieces.byte_ids[texts.data[place]]], [origin]
-    for length, (table, ids) in pieces.by_length.items():
+    sources, targets, found, origins = [], [], [], []
+    covered = np.zeros(len(texts.data), bool)
+    for length in sorted(pieces.by_length, reverse=True):
+        table, ids = pieces.by_length[length]
         fits = place + length <= limit
         at = place[fits]
         hit = table.find(texts.hashes(at, at + length))
         known = hit >= 0
-        sources.append(at[known])
-        targets.append(at[known] + length)
+        at = at[known]
+        sources.append(at)
+        targets.append(at + length)
         found.append(ids[hit[known]])
         origins.append(origin[fits][known])
+        for back in range(length if length <= 4 else 0):
+            covered[at[CHARACTER_SIZE[texts.data[at]] == length] + back] = True
+    bare = ~covered[place]
+    sources.append(place[bare])
+    targets.append(place[bare] + 1)
+    found.append(pieces.byte_ids[texts.data[place[bare]]])
+    origins.append(origin[bare])
     source, target, piece = np.concatenate(sources), np.concatenate(targets), np.concatenate(found)
     depth = target - np.concatenate(origins)
-    # edges in the order of their distance from the segment's start, then of their end
-    order = np.lexsort((piece, target, depth))
+    order = np.argsort(target, kind="stable")  # a merge of as many runs as there are lengths
     source, target, piece, depth = source[order], target[order], piece[order], depth[order]
-    weight = pieces.log_weight[piece]
+    # the forward pass goes by distance from the segment's start, then by end
+    far = depth.max() > 0xFFFF
+    order = np.argsort(depth if far else depth.astype(np.uint16), kind="stable")
+    from_, to_, gain = source[order], target[order], pieces.log_weight[piece[order]]
     forward = np.zeros(len(texts.data) + 1)
-    value = np.empty(len(source))
-    steps = np.append(np.flatnonzero(np.diff(depth, prepend=-1)), len(depth)).tolist()
+    steps = np.append(np.flatnonzero(np.diff(depth[order], prepend=-1)), len(depth)).tolist()
     for at, to in zip(steps[:-1], steps[1:]):
-        value[at:to] = forward[source[at:to]] + weight[at:to]
-        first = np.flatnonzero(np.diff(target[at:to], prepend=-1))
-        most = np.maximum.reduceat(value[at:to], first)
-        total = np.add.reduceat(np.exp(value[at:to] - np.repeat(most, np.diff(np.append(first, to - at)))), first)
-        forward[target[at:to][first]] = most + np.log(total)
-    order = np.argsort(target, kind="stable")
-    source, target, piece, value = source[order], target[order], piece[order], value[order]
+        gain[at:to] += forward[from_[at:to]]
+        first = np.flatnonzero(np.diff(to_[at:to], prepend=-1))
+        most = np.maximum.reduceat(gain[at:to], first)
+        total = np.add.reduceat(np.exp(gain[at:to] - np.repeat(most, np.diff(np.append(first, to - at)))), first)
+        forward[to_[at:to][first]] = most + np.log(total)
+    value = np.empty(len(gain))
+    value[order] = gain
     share = np.exp(value - forward[target])
     first = np.flatnonzero(np.diff(target, prepend=-1))
     count = np.diff(np.append(first, len(target)))
     total = np.cumsum(share)
     running = total - np.repeat(total[first] - share[first], count)
-    number = np.full(len(texts.data) + 1, -1, np.int64)
-    number[target[first]] = np.arange(len(first))
-    return Lattice(source, piece, np.repeat(np.arange(len(first)), count) + np.minimum(running, 1.0), number, first + count - 1)
+    running[first + count - 1] = 1.0
+    first_edge = np.full(len(texts.data) + 1, -1, np.int64)
+    first_edge[target[first]] = first
+    return Lattice(source, piece, running, first_edge)
 
 
 def segments(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -166,8 +178,11 @@ def sampled_ids(pieces: Pieces, texts: Texts, keys: np.ndarray, seed: int = SEED
     active, drawn, took = np.arange(len(start)), [], np.zeros(len(start), np.int64)
     while len(active):
         u = (mixed(chance[active], 700 + len(drawn)) >> np.uint64(11)) * 2.0**-53
-        node = lattice.number[here[active]]
-        edge = np.minimum(np.searchsorted(lattice.running, node + u, side="right"), lattice.last[node])
+        edge = lattice.first[here[active]]
+        later = np.flatnonzero(u >= lattice.running[edge])
+        while len(later):
+            edge[later] += 1
+            later = later[u[later] >= lattice.running[edge[later]]]
         drawn.append((active, lattice.piece[edge]))
         took[active] += 1
         here[active] = lattice.source[edge]
