@@ -20,7 +20,7 @@ from landtiles.llm.spans import Lookup, Texts
 ORDER = 4  # bytes of context
 SAMPLE = 300  # labelled texts per language that the trees are built from
 UNDETERMINED = "und"
-KEEP_SCORE = 0.5  # the pipeline rejects texts without a letter, and those below this score
+KEEP_SCORE = 0.3  # the pipeline rejects texts without a letter, and those below this score
 HAS_LETTER = r"\p{L}"
 
 
