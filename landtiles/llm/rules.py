@@ -157,8 +157,11 @@ def fit_rules(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Linear
     rows = bounded_sample(labelled(docs, labels, "quality"), "mark", most)
 
     def train(batches):
+        batches = list(batches)
+        if not sum(map(len, batches)):
+            return
         table = pa.Table.from_batches(batches).combine_chunks()
-        marks = table.column("mark").to_numpy() if len(table) else np.zeros(0)
+        marks = table.column("mark").to_numpy()
         apart = np.arange(len(marks)) % 4 == 3
         if len(set(marks[apart])) < 2 or len(set(marks[~apart])) < 2:
             return

@@ -106,10 +106,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Spar
     rows = bounded_sample(labelled(docs, labels, "toxic"), "mark", most)
 
     def train(batches):
-        table = pa.Table.from_batches(batches)
-        if not len(table):
+        batches = list(batches)
+        if not sum(map(len, batches)):
             return
-        table = table.combine_chunks()
+        table = pa.Table.from_batches(batches).combine_chunks()
         text = table.column("text").combine_chunks()
         model = learn_weights((texts for _, _, texts in chunks(text)), table.column("mark").to_numpy())
         yield pa.RecordBatch.from_arrays(
