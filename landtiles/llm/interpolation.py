@@ -37,7 +37,7 @@ ROUNDS = 60
 
 def squeezed(values: np.ndarray) -> bytes:
     """Numbers as compressed planes of their bytes, with the count in front."""
-    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T)
     return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
