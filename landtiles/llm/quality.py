@@ -126,7 +126,9 @@ def fit_ranker(rows: np.ndarray, marks: np.ndarray, share: float, ridge: float =
     raw = x @ weights
     order = np.argsort(raw, kind="stable")
     mass = np.where(marks == 1, (1 - share) / len(good), share / len(bad))[order].cumsum()
-    cut = raw[order][min(np.searchsorted(mass, share), len(raw) - 1)]
+    # between the last row inside the quantile and the next one
+    inside = min(np.searchsorted(mass, share - 1e-9), len(raw) - 2)
+    cut = raw[order][inside : inside + 2].mean()
     return Ranker(weights, center, scale, float(cut), float(max(raw.std() / 4, 1e-6)))
 
 

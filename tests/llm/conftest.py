@@ -42,3 +42,9 @@ def odd(spark, odd_rows):
 @pytest.fixture(scope="session")
 def empty(spark):
     return table(spark, [])
+
+
+def edited_copies(text: str, count: int) -> list[str]:
+    """Copies of a text with one word in another place replaced in each."""
+    words = text.split(" ")
+    return [" ".join([*words[: 4 * i], f"other{i}", *words[4 * i + 1 :]]) for i in range(count)]
