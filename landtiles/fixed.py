@@ -30,7 +30,7 @@ COLOUR_RADIUS = 0.2
 RETRAINING_TYPES = ("last_only", "fully_connected", "all")
 CLASSIFIER_TYPES = ("randomforest", "logisticregression")
 
-# Fields of a model card, in file order, and the two model sources.
+# Fields of a model card, in file order, and the two model sources: names of this suite.
 CARD_FIELDS = (
     "output_model_name",
     "model_source",

@@ -50,7 +50,10 @@ class OnnxNetwork:
     _opened: dict = {}
 
     def __init__(self, spark: SparkSession, path: str, output: str | None = None):
-        content = bytes(spark.read.format("binaryFile").load(path).first().content)
+        files = spark.read.format("binaryFile").load(path).limit(2).collect()
+        if len(files) != 1:
+            raise ValueError(f"one network file is needed, not {'several' if files else 'none'}: {path}")
+        content = bytes(files[0].content)
         self.key = hashlib.md5(content).hexdigest()
         self.content = spark.sparkContext.broadcast(content)
         self.output = output

@@ -6,20 +6,12 @@ from pyspark.sql import functions as F
 from landtiles.functions.vectors import argmax, required
 from landtiles.session import cut
 
-# Above this many distinct values the numbering is spread over the cluster.
-ONE_TASK_VALUES = 100_000
 _ROWS_PER_PARTITION_BITS = 33  # layout of monotonically_increasing_id
 
 
-def ordinals(
-    values: DataFrame, column: str, index: str, one_task_values: int = ONE_TASK_VALUES
-) -> DataFrame:
+def ordinals(values: DataFrame, column: str, index: str) -> DataFrame:
     """``column, index``: the sorted distinct values, numbered from 0 without gaps."""
-    distinct = cut(values.select(column).distinct(), "distinct")
-    if distinct.count() > one_task_values:
-        return positions(distinct, [column], index)
-    order = Window.orderBy(column)
-    return distinct.select(column, (F.row_number().over(order) - 1).cast("bigint").alias(index))
+    return positions(values.select(column).distinct(), [column], index)
 
 
 def positions(rows: DataFrame, order: list[str], index: str) -> DataFrame:

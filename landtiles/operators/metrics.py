@@ -90,10 +90,10 @@ def class_report(per_class: DataFrame) -> DataFrame:
     return per_class.select(
         "label",
         three_decimals(
-            F.col("recall"), "Undefined (no images have this true label)"
+            F.col("recall"), "Undefined (class absent from the test set)"
         ).alias("recall"),
         three_decimals(
-            F.col("precision"), "Undefined (no images predicted to have this label)"
+            F.col("precision"), "Undefined (class never predicted)"
         ).alias("precision"),
         three_decimals(F.col("accuracy")).alias("accuracy"),
     )

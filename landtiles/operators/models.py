@@ -1,7 +1,5 @@
 """Train, apply, save and load classifiers on feature vectors."""
 
-import numpy as np
-import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     LogisticRegression,
@@ -18,8 +16,6 @@ from landtiles.fixed import LAST_LAYER_L2, LOGISTIC_REGRESSION, RANDOM_FOREST
 from landtiles.operators.labels import predict_label
 
 SEED = 20171
-# A linear head is sent to every task, so it may not be larger than this many weights.
-HEAD_WEIGHTS = 16_000_000
 
 
 def random_forest() -> RandomForestClassifier:
@@ -99,21 +95,20 @@ def mean_head(features: DataFrame) -> DataFrame:
 def linear_head(features: DataFrame, head: DataFrame, target: str = "scores") -> DataFrame:
     """Add the scores ``features . w + b`` of each class, classes in sorted order.
 
-    ``head`` has one row per class. It is a part of the model, not of the data, and its
-    size is checked before it is sent to the tasks.
+    ``head`` has one row per class. It is a part of the model, not of the data, and meets the rows as
+    one stored value. Features that are missing, or of another length than the weights, end the job, as
+    does a head without classes.
     """
-    size = head.agg(F.coalesce(F.sum(F.size("w")), F.lit(0)).alias("n")).first().n
-    if not 0 < size <= HEAD_WEIGHTS:
-        raise ValueError(f"a linear head needs 1 to {HEAD_WEIGHTS} weights, not {size}")
-    rows = head.orderBy("label").collect()
-    weights = np.array([r.w for r in rows], dtype=np.float64).T
-    bias = np.array([r.b for r in rows], dtype=np.float64)
-
-    @F.arrow_udf("array<double>")
-    def scores(column: pa.Array) -> pa.Array:
-        flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        found = flat.reshape(len(column), -1) @ weights + bias
-        offsets = np.arange(len(found) + 1, dtype=np.int32) * found.shape[1]
-        return pa.ListArray.from_arrays(offsets, pa.array(found.ravel()))
-
-    return features.withColumn(target, scores("features"))
+    classes = head.agg(F.array_sort(F.collect_list(F.struct("label", "w", "b")))).scalar()
+    given, known = F.col("features"), F.col("_head")
+
+    def score(row):
+        products = F.zip_with(given, row["w"], lambda x, w: x.cast("double") * w.cast("double"))
+        dot = F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+        fits = F.coalesce(F.size(given) == F.size(row["w"]), F.lit(False))
+        return F.when(fits, dot + row["b"]).otherwise(F.raise_error(F.lit("features do not fit the head")))
+
+    scores = F.when(F.size(known) > 0, F.transform(known, score)).otherwise(
+        F.raise_error(F.lit("a head without classes")).cast("array<double>")
+    )
+    return features.withColumn("_head", classes).withColumn(target, scores).drop("_head")

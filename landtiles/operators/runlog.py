@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landtiles.fixed import ACCURACY_LINE, EPOCH_LINE
+from landtiles.functions.vectors import required
 
 EPOCH_FIELDS = ("epoch", "loss", "error_pct", "duration", "rate")
 # Name under which each epoch column is recorded.
@@ -23,14 +24,14 @@ def epoch_lines(lines: DataFrame) -> DataFrame:
     """The five numbers of each epoch line as doubles; other lines are left out.
 
     The cheap prefix test spares most lines the pattern, and one replacement cuts a line
-    into all of its fields.
+    into all of its fields. A field of digits and dots that is no number ends the job.
     """
     value = F.col("value")
     fields = F.split(F.regexp_replace(value, EPOCH_LINE + ".*$", "$1 $2 $3 $4 $5"), " ")
     return (
         lines.where(value.startswith("Finished Epoch[") & value.rlike(EPOCH_LINE))
         .select(fields.alias("_f"))
-        .select(*(F.col("_f")[i].try_cast("double").alias(c) for i, c in enumerate(EPOCH_FIELDS)))
+        .select(*(required(F.col("_f")[i].try_cast("double"), c).alias(c) for i, c in enumerate(EPOCH_FIELDS)))
     )
 
 
@@ -61,7 +62,7 @@ def log_accuracy(lines: DataFrame) -> DataFrame:
     """``accuracy`` of every test-accuracy line."""
     text = F.regexp_extract("value", ACCURACY_LINE, 1)
     return lines.where(F.col("value").rlike(ACCURACY_LINE)).select(
-        text.try_cast("double").alias("accuracy")
+        required(text.try_cast("double"), "accuracy").alias("accuracy")
     )
 
 
@@ -106,11 +107,13 @@ def series_metrics(series: DataFrame, run_id: str) -> DataFrame:
 
 
 def append_metrics(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+    """One small file per call, in the folder of its run."""
+    rows.coalesce(1).write.mode("append").partitionBy("run_id").parquet(path)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(METRIC_SCHEMA).parquet(path)
+    columns = [field.split()[0] for field in METRIC_SCHEMA.split(", ")]
+    return spark.read.schema(METRIC_SCHEMA).parquet(path).select(*columns)
 
 
 def _stamped(rows: DataFrame) -> DataFrame:

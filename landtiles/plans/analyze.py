@@ -62,7 +62,8 @@ def main(argv=None) -> None:
         args.tile_index, args.on_unknown,
     )
     reports["accuracy"].show()
-    reports["class_report"].orderBy("label").show(100, False)
+    for row in reports["class_report"].orderBy("label").toLocalIterator():
+        print(*row, sep="\t")
 
 
 if __name__ == "__main__":

@@ -36,7 +36,8 @@ def main(argv=None) -> None:
     parser.add_argument("--metrics", required=True, help="folder of recorded metrics")
     parser.add_argument("--run-id")
     args = parser.parse_args(argv)
-    log_report(job_session("log report"), args.log, args.metrics, args.run_id).show(20, False)
+    for row in log_report(job_session("log report"), args.log, args.metrics, args.run_id).toLocalIterator():
+        print(*row, sep="\t")
 
 
 if __name__ == "__main__":

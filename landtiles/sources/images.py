@@ -1,6 +1,7 @@
 """Image tiles and file listings as DataFrames."""
 
 import posixpath
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,7 +82,10 @@ def _scan(
 
 def _in_class_folder(root: str) -> Column:
     """True for files exactly one folder below the root, not for files in the root itself."""
-    plain = posixpath.normpath(root.split("://", 1)[-1].removeprefix("file:"))
+    if re.search(r"[*?\[\]{}]", root):
+        raise ValueError(f"a root is one folder, not a pattern: {root}")
+    # hdfs:/data, hdfs://host/data and /data all end in the same folder
+    plain = posixpath.normpath(re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*(?=/))?", "", root))
     while plain.startswith("../"):
         plain = plain[3:]
     folder = F.regexp_replace(file_path(), "/+[^/]+/+[^/]+$", "")

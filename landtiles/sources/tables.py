@@ -1,7 +1,8 @@
 """Prediction, tile, label, card and log files as DataFrames.
 
 No schema is inferred: a class named ``1`` or ``NA`` stays text. Columns of files with a
-header are found by name, so extra columns and another column order do no harm.
+header are found by name, so extra columns and another column order do no harm, as long as
+all files of a folder have the same header.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,7 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 def read_tile_index(spark: SparkSession, path: str) -> DataFrame:
     """``name`` and the four corner coordinates of each tile."""
     rows = named(_with_header(spark, path), "filename")
-    return rows.select("name", *(F.col(c).cast("double").alias(c) for c in CORNERS))
+    return rows.select("name", *(required(F.col(c).try_cast("double"), c).alias(c) for c in CORNERS))
 
 
 def named(rows: DataFrame, path_column: str) -> DataFrame:
@@ -89,7 +90,8 @@ def card_rows(fields: DataFrame, keys: list[str], wanted: tuple[str, ...]) -> Da
 
 
 def _with_header(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, escape='"', mode="FAILFAST")
+    # files of one folder whose headers differ end the job instead of mixing up columns
+    return spark.read.csv(path, header=True, escape='"', mode="FAILFAST", enforceSchema=False)
 
 
 def _tab_separated(spark: SparkSession, path: str, schema: str) -> DataFrame:

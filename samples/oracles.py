@@ -115,6 +115,10 @@ def _draws() -> str:
     )
 
 
+_PLANTED = """select 'tile_' || vec_id as filepath, 'class_' || place as label, 'class_' || place as pred_label
+    from (select vec_id, list_position(embedding[1:4], list_max(embedding[1:4])) - 1 as place from embeddings)"""
+
+
 def _run_metrics(accuracy: str) -> str:
     return f"""{accuracy} union all
     select 'run' as run_id, metric, null::double as value_double, series from ({_SERIES})"""
@@ -154,8 +158,8 @@ ORACLES = {
     "class_report": with_views(
         "pred",
         f"""select label,
-              coalesce(printf('%.3f', recall), 'Undefined (no images have this true label)') as recall,
-              coalesce(printf('%.3f', precision), 'Undefined (no images predicted to have this label)') as precision,
+              coalesce(printf('%.3f', recall), 'Undefined (class absent from the test set)') as recall,
+              coalesce(printf('%.3f', precision), 'Undefined (class never predicted)') as precision,
               printf('%.3f', accuracy) as accuracy from ({_one_vs_rest("pred")})""",
     ),
     "confusion_long": with_views("pred", _confusion("pred")),
@@ -271,6 +275,14 @@ ORACLES = {
     "job_score_network": with_views(
         "tile_pixels scored", _NETWORK_LABELS + "select name, pred_label from network_labels"
     ),
+    # scaling keeps the mean of a channel; along each side the first block is 7/8 of the first pixel and 1/8 of the next
+    "featurize_full_size": with_views(
+        "tile_pixels",
+        f"""select {_TILE} as name, 'class_' || label as label,
+                   (list_sum(r) + list_sum(g) + list_sum(b) - 192 * 114)::bigint as total, (49 * b[1] + 7 * (b[2] + b[9]) + b[10] - 64 * 114)::bigint as corner
+            from tile_pixels""",
+    ),
+    **{name: _PLANTED for name in ("train_lr", "train_rf", "train_last_layer", "train_mlp", "score_saved_model")},
     "linear_head": """
         with numbers as (select vec_id, label, generate_subscripts(embedding, 1) as pos, unnest(embedding)::double as v
                          from embeddings),

@@ -10,7 +10,7 @@ from landtiles.sources import tables
 def test_ordinals_alike_in_one_task_and_spread(spark):
     values = spark.range(5000).select((F.col("id") * 7919 % 1234 / 4.0).alias("v"))
     one = labels.ordinals(values, "v", "i").collect()
-    spread = labels.ordinals(values, "v", "i", one_task_values=10).collect()
+    spread = labels.ordinals(values.repartition(40), "v", "i").collect()
     wanted = {v: i for i, v in enumerate(sorted({k * 7919 % 1234 / 4.0 for k in range(5000)}))}
     assert dict(one) == dict(spread) == wanted
 
@@ -71,3 +71,40 @@ def test_label_index_file_has_no_header_and_one_part(spark, tmp_path):
 def test_class_and_size(spark):
     rows = spark.createDataFrame([("a",), ("a",), ("b",)], "label string")
     assert labels.class_and_size(rows).first().asDict() == {"num_classes": 2, "epoch_size": 3}
+
+
+def test_files_of_another_header_end_the_job(spark, tmp_path):
+    from landtiles.sources.tables import read_test_predictions
+
+    (tmp_path / "a.csv").write_text("filepath,label,pred_label\nx.png,Forest,Forest\n")
+    (tmp_path / "b.csv").write_text("pred_label,label,filepath\nShrub,Forest,y.png\n")
+    with pytest.raises(Exception):
+        read_test_predictions(spark, str(tmp_path)).collect()
+
+
+def test_a_tile_without_a_corner_ends_the_job(spark, tmp_path):
+    from landtiles.sources.tables import read_tile_index
+
+    head = "filename,llcrnrlat,llcrnrlon,urcrnrlat,urcrnrlon\n"
+    (tmp_path / "t.csv").write_text(head + "a.png,1,2,3,4\nb.png,1,,3,4\n")
+    with pytest.raises(Exception, match="llcrnrlon"):
+        read_tile_index(spark, str(tmp_path)).collect()
+
+
+def test_a_root_is_no_pattern(spark, tmp_path):
+    from landtiles.sources.images import list_class_files
+
+    (tmp_path / "train" / "Forest").mkdir(parents=True)
+    (tmp_path / "train" / "Forest" / "a.png").write_bytes(b"x")
+    with pytest.raises(ValueError):
+        list_class_files(spark, f"{tmp_path}/tr*")
+    for root in (f"{tmp_path}/train", f"file:{tmp_path}/train", f"file://{tmp_path}/train/"):
+        assert list_class_files(spark, root).count() == 1
+
+
+def test_a_log_field_that_is_no_number_ends_the_job(spark):
+    from landtiles.operators.runlog import epoch_lines
+
+    line = "Finished Epoch[1 of 4]: [Training] loss = 1.2.3 * 100, metric = 4.5% * 100 1.25s (40.75 samples/s);"
+    with pytest.raises(Exception, match="loss"):
+        epoch_lines(spark.createDataFrame([(line,)], "value string")).collect()

@@ -95,8 +95,16 @@ def test_linear_head_by_brute_force(spark, planted):
     weights = np.array([r.w for r in rows])
     for r in models.linear_head(planted, head).collect():
         assert np.allclose(r.scores, weights @ np.array(r.features), atol=1e-9)
-    with pytest.raises(ValueError):
-        models.linear_head(planted, head.limit(0))
+    with pytest.raises(Exception, match="without classes"):
+        models.linear_head(planted, head.limit(0)).collect()
+
+
+def test_linear_head_takes_no_uneven_rows(spark):
+    head = spark.createDataFrame([("a", [1.0, 0.0], 0.0), ("b", [0.0, 1.0], 0.5)], "label string, w array<double>, b double")
+    for rows in ([([1.0, 2.0, 3.0],), ([4.0],)], [([1.0, 2.0],), (None,)]):
+        frame = spark.createDataFrame(rows, "features array<float>")
+        with pytest.raises(Exception, match="do not fit"):
+            models.linear_head(frame, head).collect()
 
 
 @pytest.fixture(scope="module")
