@@ -3,14 +3,16 @@
 A text's set is that of its 5-word shingles (A-Z in lower case), or its whole word sequence if shorter. Equal sets
 are one class from the start. Each class has a signature of minwise tokens. Several independent trees branch the
 classes by tokens: the root of tree t sends a class to the node of its t-th token; a node that is small is compared
-exhaustively by signatures, a larger one branches again, each class following ``BRANCHES`` further tokens. Two
-classes of Jaccard similarity s stay together in one tree with probability s at the root and 1 - (1 - s)**2 at each
-level below, so eight trees miss a pair at 0.85 with probability below 1e-5 even three levels down. Nodes still
-large at the last level are compared in blocks, so no candidate is dropped. All links are confirmed on the full sets.
+exhaustively, a larger one branches again, each class following ``BRANCHES`` further tokens. Two classes of Jaccard
+similarity s stay together in one tree with probability s at the root and 1 - (1 - s)**2 at each level below, so eight
+trees miss a pair at 0.85 with probability below 1e-5 even three levels down. Nodes still large at the last level
+are compared in pairs of blocks, so no candidate is dropped.
 
-Before nodes are compared, every class is checked against one pivot of each of its nodes. What that links is
-joined into components, and nodes whose classes lie in one component have nothing left to find. So a large group of
-near copies costs one check per member and tree, not one per pair.
+A small node is first split by signatures into clusters that may hold links; the same cluster in several trees is one.
+Each cluster then gets the full sets, whose exact overlaps are one matrix product, and gives as many links as
+its components need. The classes of a large node are checked on full sets against one pivot before it branches; nodes
+whose classes lie in one component have nothing left to find. So a large group of near copies costs one
+check per member and tree, and no step gives more rows than it has members.
 
 Texts without words, null ones included, have empty sets and are linked with nothing. Repeated rows share a class.
 Rows without ``doc_id`` take part in a class, but cannot name a component: theirs is that of their class,
@@ -31,12 +33,13 @@ from landtiles.session import cut
 
 SHINGLE_WORDS = 5
 PERCENT = 85
-POSITIONS = 64  # minwise tokens of a signature, 4 bytes each
+POSITIONS = 128  # minwise tokens that a signature keeps one byte of
+TOKENS = 24  # of these, so many are kept in 4 bytes, to branch by
 TREES = 8
 BRANCHES = 2
-SMALL_NODE = 64
-LEVELS = 10
-BLOCK = 1024  # classes of a node compared at once on the last level
+SMALL_NODE = 2048
+LEVELS = 6
+COLUMNS = 4096  # shingles of a cluster multiplied at once
 
 _MULTIPLIERS = mixed(np.arange(POSITIONS, dtype=np.uint64), 77) | np.uint64(1)
 _MASKS = mixed(np.arange(POSITIONS, dtype=np.uint64), 78)
@@ -72,18 +75,19 @@ def digest_of(shingles: np.ndarray) -> bytes:
     return np.array(sums, np.uint64).tobytes()
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """For each set that is not empty, the smallest value of each of the hash functions."""
+def signatures(sets: list[np.ndarray]) -> list[bytes]:
+    """For each set that is not empty, the smallest values of the hash functions: some whole, then a byte of each."""
     filled = [s for s in sets if len(s)]
     if not filled:
-        return np.zeros((0, POSITIONS), np.uint32)
+        return []
     every = np.concatenate(filled)
     first = np.append(0, np.cumsum([len(s) for s in filled])[:-1])
     found = np.empty((len(filled), POSITIONS), np.uint32)
     for k in range(POSITIONS):
         values = ((every ^ _MASKS[k]) * _MULTIPLIERS[k]) >> np.uint64(32)
         found[:, k] = np.minimum.reduceat(values, first)
-    return found
+    whole, short = found[:, :TOKENS].copy(), (mixed(found) & np.uint64(255)).astype(np.uint8)
+    return [w.tobytes() + b.tobytes() for w, b in zip(whole, short)]
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -99,7 +103,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                         batch.column("doc_id").slice(first, last - first),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([digest_of(s) if len(s) else None for s in sets], pa.binary()),
-                        pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary()),
+                        pa.array([next(rows) if len(s) else None for s in sets], pa.binary()),
                     ],
                     names=["doc_id", "n_shingles", "digest", "signature"],
                 )
@@ -112,9 +116,9 @@ def plain(docs: DataFrame) -> DataFrame:
 
 
 def least_agreeing(percent: int) -> int:
-    """Equal positions that a linked pair has but for one case in many millions."""
+    """Equal positions that a linked pair has but for one case in millions."""
     s = percent / 100
-    return int(POSITIONS * s - 5.5 * (POSITIONS * s * (1 - s)) ** 0.5)
+    return int(POSITIONS * s - 5 * (POSITIONS * s * (1 - s)) ** 0.5)
 
 
 def token(position: int):
@@ -122,26 +126,8 @@ def token(position: int):
     return F.substring("signature", 4 * position + 1, 4)
 
 
-def similar_by_signature(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
-    """The pairs ``a, b`` whose signatures agree in enough positions."""
-    sides = [classes.select(F.col("vid").alias(x), F.col("signature").alias(f"s{x}")) for x in "ab"]
-    joined = pairs.join(sides[0], "a").join(sides[1], "b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            one, two = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, POSITIONS) for c in ("sa", "sb"))
-            yield batch.select(["a", "b"]).filter(pa.array((one == two).sum(axis=1) >= least))
-
-    return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
-
-
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose full sets are similar enough."""
-    named = classes.select("vid", "digest", "rep")
-    pairs = pairs.join(named.select(F.col("vid").alias("a"), F.col("digest").alias("da"), F.col("rep").alias("ra")), "a")
-    pairs = pairs.join(named.select(F.col("vid").alias("b"), F.col("digest").alias("db"), F.col("rep").alias("rb")), "b")
-    pairs = cut(pairs, "pairs")
-    needed = pairs.select(F.col("ra").alias("doc_id")).union(pairs.select(F.col("rb").alias("doc_id"))).distinct()
+def full_sets(needed: DataFrame, docs: DataFrame) -> DataFrame:
+    """``digest, shingles`` of the classes in ``needed``, read again from one text of each."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,8 +138,18 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
                     names=["digest", "shingles"],
                 )
 
-    rows = plain(docs).join(needed, "doc_id", "left_semi").select("text").mapInArrow(sets, "digest binary, shingles binary")
-    full = cut(rows.groupBy("digest").agg(F.min("shingles").alias("shingles")), "sets")
+    ids = needed.select(F.col("rep").alias("doc_id")).distinct()
+    rows = plain(docs).join(ids, "doc_id", "left_semi").select("text").mapInArrow(sets, "digest binary, shingles binary")
+    return cut(rows.groupBy("digest").agg(F.min("shingles").alias("shingles")), "sets")
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose full sets are similar enough."""
+    named = classes.select("vid", "digest", "rep")
+    for x in "ab":
+        pairs = pairs.join(named.select(F.col("vid").alias(x), F.col("digest").alias(f"d{x}"), F.col("rep").alias(f"r{x}")), x)
+    pairs = cut(pairs, "pairs")
+    full = full_sets(pairs.select(F.col("ra").alias("rep")).union(pairs.select("rb")), docs)
     sides = [full.select(F.col("digest").alias(f"d{x}"), F.col("shingles").alias(f"s{x}")) for x in "ab"]
     joined = pairs.select("a", "b", "da", "db").join(sides[0], "da").join(sides[1], "db")
 
@@ -169,22 +165,77 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
     return joined.select("a", "b", "sa", "sb").mapInArrow(compare, "a bigint, b bigint")
 
 
-def cross_pairs(members: pd.DataFrame, least: int) -> pd.DataFrame:
-    """Pairs of a node's classes in different components whose signatures agree in enough positions."""
+def spanning(count: int, near) -> list[tuple[int, np.ndarray]]:
+    """A walk through the components of a graph: each vertex with the new ones met from it.
+
+    ``near(i)`` tells for all vertices whether they are adjacent to ``i``. A component's first vertex comes with itself.
+    """
+    left, walk = np.ones(count, bool), []
+    for i in range(count):
+        if not left[i]:
+            continue
+        left[i] = False
+        walk.append((i, np.array([i])))
+        waiting = [i]
+        while waiting and left.any():
+            j = waiting.pop()
+            fresh = np.flatnonzero(near(j) & left)
+            left[fresh] = False
+            if len(fresh):
+                walk.append((j, fresh))
+                waiting += fresh.tolist()
+    return walk
+
+
+def clustered(members: pd.DataFrame, least: int) -> pd.DataFrame:
+    """The classes of a node, split where signatures exclude a link; clusters of one component are left out.
+
+    A cluster is named by its members.
+    """
+    members = members.sort_values("vid")
     vid, label = members["vid"].to_numpy(), members["label"].to_numpy()
-    signature = np.frombuffer(b"".join(members["signature"]), np.uint32).reshape(-1, POSITIONS)
+    short = np.array([np.frombuffer(s, np.uint8)[4 * TOKENS :] for s in members["signature"]])
+    name = np.zeros(len(vid), np.int64)
+    for i, fresh in spanning(len(vid), lambda j: np.count_nonzero(short == short[j], axis=1) >= least):
+        name[fresh] = i if i in fresh else name[i]
     found = []
-    for i in range(len(vid) - 1):
-        near = np.flatnonzero(((signature[i + 1 :] == signature[i]).sum(axis=1) >= least) & (label[i + 1 :] != label[i])) + i + 1
-        if len(near):
-            found.append(np.column_stack([np.full(len(near), vid[i]), vid[near]]))
-    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
-    return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
-
-
-def compared(nodes: DataFrame, least: int) -> DataFrame:
-    """Distinct candidate pairs of small nodes, each compared exhaustively in one task."""
-    return nodes.groupBy("node").applyInPandas(lambda members: cross_pairs(members, least), "a bigint, b bigint")
+    order = np.argsort(name, kind="stable")
+    for run in np.split(order, np.flatnonzero(np.diff(name[order])) + 1):
+        if len(set(label[run])) > 1:
+            key = mixed(vid[run].astype(np.uint64), 401).sum(dtype=np.uint64)
+            found.append(pd.DataFrame({"cluster": key.astype(np.int64), "vid": vid[run]}))
+    return pd.concat(found) if found else pd.DataFrame({"cluster": np.zeros(0, np.int64), "vid": np.zeros(0, np.int64)})
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many members each two sets share, as products of blocks of the membership matrix."""
+    sizes = [len(s) for s in sets]
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, shared = np.repeat(np.arange(len(sets)), sizes), count > 1
+    dense = np.cumsum(shared) - 1
+    keep = shared[column]
+    row, column = row[keep], dense[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    width = int(dense[-1]) + 1
+    for first in range(0, width, COLUMNS):
+        at, to = np.searchsorted(column, [first, first + COLUMNS])
+        block = np.zeros((len(sets), min(COLUMNS, width - first)), np.float32)
+        block[row[at:to], column[at:to] - first] = 1.0
+        total += block @ block.T
+    return total
+
+
+def linked(members: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links that join the classes of a cluster as their full sets do, one fewer than classes for each component."""
+    vid = members["vid"].to_numpy()
+    sets = [np.frombuffer(s, np.uint64) for s in members["shingles"]]
+    size = np.array([len(s) for s in sets], np.float64)
+    both = overlaps(sets)
+    near = lambda i: 100.0 * both[i] >= percent * (size + size[i] - both[i])
+    links = [(vid[i], v) for i, fresh in spanning(len(vid), near) for v in vid[fresh] if v != vid[i]]
+    return pd.DataFrame(links, columns=["a", "b"]).astype(np.int64)
 
 
 def mixed_nodes(members: DataFrame) -> DataFrame:
@@ -195,56 +246,54 @@ def mixed_nodes(members: DataFrame) -> DataFrame:
 
 def link_classes(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``vid, label`` of the classes that are linked with another one."""
-    least = least_agreeing(percent)
+    least, signed = least_agreeing(percent), classes.select("vid", "signature")
     roots = F.explode(F.array(*(F.struct(F.lit(t).alias("tree"), F.xxhash64(F.lit(t), token(t)).alias("node")) for t in range(TREES))))
     members = classes.select("vid", roots.alias("at")).select("at.node", "at.tree", "vid")
-    nodes = members.groupBy("node").agg(
-        F.min_by("vid", F.xxhash64("vid", "tree")).alias("pivot"), F.count("*").alias("n")
-    ).where("n > 1")
-    members = cut(members.join(nodes.drop("n"), "node"), "nodes")
-    star = members.where("vid != pivot").select(F.least("vid", "pivot").alias("a"), F.greatest("vid", "pivot").alias("b")).distinct()
-    tried = cut(similar_by_signature(star, classes, least), "stars")
-    links = cut(confirmed(tried, classes, docs, percent), "links")
-    labels = components(links)
-
-    # nodes that still hold several components are branched until they are small
-    level, candidates = 0, []
-    found = members.select("node", "tree", "vid").join(labels, "vid", "left")
-    now = found.withColumn("label", F.coalesce("label", "vid"))
-    now = cut(now.join(mixed_nodes(now), "node").join(classes.select("vid", "signature"), "vid"), "level")
+    nodes = members.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
+    now = members.join(nodes, "node").withColumn("label", F.col("vid"))
+    now = cut(now, "level")
+    links, clusters, level = None, [], 0
     while True:
-        small = now.where(f"n <= {SMALL_NODE}")
-        candidates.append(cut(compared(small, least).distinct(), "candidates"))
+        small = now.where(f"n <= {SMALL_NODE}").select("node", "vid", "label").join(signed, "vid")
+        clusters.append(small.groupBy("node").applyInPandas(lambda m: clustered(m, least), "cluster bigint, vid bigint"))
         large = now.where(f"n > {SMALL_NODE}")
         if large.isEmpty():
             break
         if level == LEVELS:
-            blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+            blocks = F.ceil(F.col("n") / (SMALL_NODE // 2)).cast("int")
             own = F.pmod(F.xxhash64("vid"), blocks).cast("int")
             split = large.withColumns({"own": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
             pair = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
-            candidates.append(cut(compared(split.withColumn("node", pair), least).distinct(), "candidates"))
+            both = split.select(pair.alias("node"), "vid", "label").join(signed, "vid")
+            clusters.append(both.groupBy("node").applyInPandas(lambda m: clustered(m, least), "cluster bigint, vid bigint"))
             break
+        # link with a pivot what can be, leave nodes of one component, branch the others
+        pivots = large.groupBy("node").agg(F.min_by("vid", F.xxhash64("vid", "tree")).alias("pivot"))
+        star = large.join(pivots, "node").where("vid != pivot")
+        star = star.select(F.least("vid", "pivot").alias("a"), F.greatest("vid", "pivot").alias("b")).distinct()
+        fresh = cut(confirmed(star, classes, docs, percent), "links")
+        links = fresh if links is None else links.union(fresh)
+        labels = components(links)
         steps = []
         for branch in range(BRANCHES):
-            at = F.pmod(F.xxhash64(F.lit(level), F.lit(branch), "tree"), F.lit(POSITIONS)).cast("int")
+            at = F.pmod(F.xxhash64(F.lit(level), F.lit(branch), "tree"), F.lit(TOKENS)).cast("int")
             value = F.expr("substring(signature, 4 * position + 1, 4)")
-            steps.append(large.withColumn("position", at).withColumn("node", F.xxhash64("node", "position", value)).drop("position", "n"))
+            step = large.join(signed, "vid").withColumn("position", at)
+            steps.append(step.select(F.xxhash64("node", "position", value).alias("node"), "tree", "vid"))
         children = steps[0]
         for step in steps[1:]:
             children = children.union(step)
+        children = children.join(labels, "vid", "left").withColumn("label", F.coalesce("label", "vid"))
         now = cut(children.join(mixed_nodes(children), "node"), "level")
         level += 1
-    more = candidates[0]
-    for part in candidates[1:]:
-        more = more.union(part)
-    more = cut(more.distinct().join(tried, ["a", "b"], "left_anti"), "candidates")
-    if more.isEmpty():
-        return labels
-    fresh = cut(confirmed(more, classes, docs, percent), "links")
-    if fresh.isEmpty():
-        return labels
-    return components(labels.select(F.col("vid").alias("a"), F.col("label").alias("b")).union(fresh))
+    every = clusters[0]
+    for part in clusters[1:]:
+        every = every.union(part)
+    every = cut(every.distinct().join(classes.select("vid", "digest", "rep"), "vid"), "clusters")
+    sets = full_sets(every, docs)
+    groups = every.select("cluster", "vid", "digest").join(sets, "digest").select("cluster", "vid", "shingles")
+    fresh = cut(groups.groupBy("cluster").applyInPandas(lambda m: linked(m, percent), "a bigint, b bigint"), "links")
+    return components(fresh if links is None else links.union(fresh))
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -74,11 +74,11 @@ def near_rows():
 
 
 @pytest.mark.parametrize("percent", [80, 85])
-@pytest.mark.parametrize("small,levels", [(64, 10), (4, 10), (4, 1)])
+@pytest.mark.parametrize("small,levels", [(2048, 6), (16, 6), (16, 1)])
 def test_components_by_brute_force(spark, monkeypatch, percent, small, levels):
     monkeypatch.setattr(chosenpath, "SMALL_NODE", small)
     monkeypatch.setattr(chosenpath, "LEVELS", levels)
-    monkeypatch.setattr(chosenpath, "BLOCK", 16)
+    monkeypatch.setattr(chosenpath, "COLUMNS", 50)
     rows = near_rows()
     expected = brute_components(rows, percent)
     assert 1 < len(set(expected.values())) < len(rows)
