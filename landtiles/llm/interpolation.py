@@ -24,7 +24,7 @@ from landtiles.llm.common import fold
 from landtiles.llm.spans import chunks, mixed, owners, paired
 from landtiles.session import cut
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 FOLDS, HELD_OUT = 7, 2
 START, END = (mixed(np.array([k], np.uint64), 900)[0] for k in (1, 2))
 BUCKETS = 48  # of the context's frequency, by powers of two
