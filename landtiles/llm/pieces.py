@@ -120,8 +120,9 @@ def build_lattice(pieces: Pieces, texts: Texts, start: np.ndarray, end: np.ndarr
     targets.append(place[bare] + 1)
     found.append(pieces.byte_ids[texts.data[place[bare]]])
     origins.append(origin[bare])
-    source, target, piece = np.concatenate(sources), np.concatenate(targets), np.concatenate(found)
-    depth = target - np.concatenate(origins)
+    source, target, piece, depth = (np.concatenate(x).astype(np.int32) for x in (sources, targets, found, origins))
+    depth = target - depth
+    del sources, targets, found, origins
     order = np.argsort(target, kind="stable")  # a merge of as many runs as there are lengths
     source, target, piece, depth = source[order], target[order], piece[order], depth[order]
     # the forward pass goes by distance from the segment's start, then by end
@@ -202,22 +203,33 @@ def joined(pieces: Pieces, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pieces.data[at], begin
 
 
-def encoded(docs: DataFrame, path: str = MODEL, seed: int = SEED) -> DataFrame:
-    """``doc_id, text, ids`` of each row; ``ids`` are little-endian 32-bit numbers, drawn for the row's id."""
+def spelled(pieces: Pieces, blobs: list[bytes]) -> pa.Array:
+    """The texts that lists of ids spell."""
+    return pa.array([joined(pieces, np.frombuffer(b or b"", "<i4"))[0].tobytes().decode("utf-8") for b in blobs], pa.string())
+
+
+def encoded(docs: DataFrame, path: str = MODEL, seed: int = SEED, decode: bool = False) -> DataFrame:
+    """``doc_id, text, ids`` of each row; ``ids`` are little-endian 32-bit numbers, drawn for the row's id.
+
+    With ``decode`` the ids are decoded again in the same pass, as ``decoded`` does with stored ones.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path)
         for batch in batches:
             keys = mixed(batch.column("doc_id").fill_null(-1).to_numpy().astype(np.int64).view(np.uint64), 800)
-            for first, last, texts in chunks(batch.column("text"), most=4 << 20):
+            for first, last, texts in chunks(batch.column("text"), most=2 << 20):
                 ids, bounds = sampled_ids(pieces, texts, keys[first:last], seed)
                 offsets = pa.py_buffer((bounds * 4).astype(np.int32))
                 body = pa.Array.from_buffers(pa.binary(), last - first, [None, offsets, pa.py_buffer(ids.astype("<i4"))])
                 part = batch.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text"), body], names=["doc_id", "text", "ids"])
+                columns = {"doc_id": part.column("doc_id"), "text": part.column("text"), "ids": body}
+                if decode:
+                    columns["decoded"] = spelled(pieces, body.to_pylist())
+                yield pa.RecordBatch.from_pydict(columns)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, text string, ids binary")
+    return rows.mapInArrow(run, "doc_id bigint, text string, ids binary" + ", decoded string" * decode)
 
 
 def decoded(rows: DataFrame, path: str = MODEL) -> DataFrame:
@@ -226,9 +238,9 @@ def decoded(rows: DataFrame, path: str = MODEL) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path)
         for batch in batches:
-            blobs = batch.column("ids").to_pylist()
-            text = [joined(pieces, np.frombuffer(b or b"", "<i4"))[0].tobytes().decode("utf-8") for b in blobs]
-            yield batch.append_column("decoded", pa.array(text, pa.string()))
+            for at in range(0, len(batch), 500):
+                part = batch.slice(at, 500)
+                yield part.append_column("decoded", spelled(pieces, part.column("ids").to_pylist()))
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
     return rows.mapInArrow(run, schema + ", decoded string")

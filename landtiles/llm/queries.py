@@ -95,7 +95,7 @@ def op7_lm_scoring(spark, sf_dir):
 
 @query
 def op8_sentencepiece(spark, sf_dir):
-    rows = pieces.decoded(pieces.encoded(documents(spark, sf_dir)))
+    rows = pieces.encoded(documents(spark, sf_dir), decode=True)
     text = F.coalesce("text", F.lit(""))
     return rows.select(
         "doc_id",

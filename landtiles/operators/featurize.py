@@ -98,17 +98,20 @@ def featurize(
     mean: float = PIXEL_MEAN,
     epoch: Column | None = None,
     seed: str = "0",
+    epochs: int | None = None,
 ) -> DataFrame:
     """Replace ``image`` by ``features``, an array of floats.
 
     A tile is scaled to ``side`` if it differs, unrolled to channel-height-width order
     with channels blue, green, red, less ``mean``, and handed to the extractor. With an
-    ``epoch`` it is cropped and its colours are changed first, as in training.
+    ``epoch`` it is cropped and its colours are changed first, as in training. With a number
+    of ``epochs`` each tile gives one row per epoch, from 1; its bytes are handed over once.
     """
     extractor = extractor or BlockFeatures()
-    changed = epoch is not None
+    passes = [F.lit(e) for e in range(1, epochs + 1)] if epochs else [] if epoch is None else [epoch]
     kept = [c for c in tiles.columns if c != "image"]
-    flat = _flat(tiles, kept, epoch, seed)
+    flat = _flat(tiles, kept, passes, seed)
+    turns = range(len(passes)) if passes else [None]
     schema = StructType(
         [flat.schema[c] for c in kept] + [StructField("features", ArrayType(FloatType(), False))]
     )
@@ -117,14 +120,16 @@ def featurize(
         for batch in batches:
             for start in range(0, batch.num_rows, TILES_AT_ONCE):
                 part = batch.slice(start, TILES_AT_ONCE)
-                ready = np.empty((part.num_rows, 3, side, side), np.float32)
-                for rows, stack in pixels.stacks(part):
-                    ready[rows] = _prepared(part, rows, stack, side, changed)
-                ready -= np.float32(mean)
-                found = extractor(ready).astype(np.float32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in kept] + [_lists(found)], names=kept + ["features"]
-                )
+                stacks = list(pixels.stacks(part))
+                for turn in turns:
+                    ready = np.empty((part.num_rows, 3, side, side), np.float32)
+                    for rows, stack in stacks:
+                        ready[rows] = _prepared(part, rows, stack, side, turn)
+                    ready -= np.float32(mean)
+                    found = extractor(ready).astype(np.float32)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(c) for c in kept] + [_lists(found)], names=kept + ["features"]
+                    )
 
     return flat.mapInArrow(features, schema)
 
@@ -133,8 +138,7 @@ def augment(tiles: DataFrame, epoch: Column, seed: str = "0", side: int = TILE_S
     """Training form of each tile as an image again: cropped, scaled, colours changed."""
     kept = [c for c in tiles.columns if c != "image"]
     image = tiles.schema["image"].dataType
-    changed = True
-    flat = _flat(tiles, kept, epoch, seed)
+    flat = _flat(tiles, kept, [epoch], seed)
     names = [f.name for f in image.fields]
     schema = StructType(
         [tiles.schema[c] for c in kept] + [StructField(f"_{f.name}", f.dataType) for f in image.fields]
@@ -147,7 +151,7 @@ def augment(tiles: DataFrame, epoch: Column, seed: str = "0", side: int = TILE_S
                 part = batch.slice(start, TILES_AT_ONCE)
                 data = np.empty((part.num_rows, side, side, 3), np.uint8)
                 for rows, stack in pixels.stacks(part):
-                    data[rows] = np.rint(_prepared(part, rows, stack, side, changed)).transpose(0, 2, 3, 1)
+                    data[rows] = np.rint(_prepared(part, rows, stack, side, 0)).transpose(0, 2, 3, 1)
                 n = part.num_rows
                 made = {
                     "origin": part.column("_origin"),
@@ -178,16 +182,19 @@ def draws(epoch: Column, seed: str = "0") -> list[Column]:
     ]
 
 
-def _flat(tiles: DataFrame, kept: list[str], epoch: Column | None, seed: str) -> DataFrame:
+def _flat(tiles: DataFrame, kept: list[str], passes: list[Column], seed: str) -> DataFrame:
+    """The fields of the image, and for each kind of draw the numbers of all passes."""
     fields = [F.col(f"image.{c}").alias(f"_{c}") for c in _IMAGE_FIELDS]
-    drawn = [] if epoch is None else draws(epoch, seed)
-    return tiles.select(*kept, *fields, *(c.alias(f"_{d}") for c, d in zip(drawn, _DRAWS)))
+    drawn = zip(*(draws(epoch, seed) for epoch in passes))
+    return tiles.select(*kept, *fields, *(F.array(*c).alias(f"_{d}") for c, d in zip(drawn, _DRAWS)))
 
 
-def _prepared(part: pa.RecordBatch, rows, stack: np.ndarray, side: int, changed: bool) -> np.ndarray:
-    if not changed:
+def _prepared(part: pa.RecordBatch, rows, stack: np.ndarray, side: int, turn: int | None) -> np.ndarray:
+    """Tiles as the extractor takes them, but for the mean; ``turn`` is the pass whose draws change them."""
+    if turn is None:
         return pixels.resize(pixels.unroll(stack), side)
-    drawn = np.stack([part.column(f"_{d}").to_numpy()[rows] for d in _DRAWS], axis=1)
+    drawn = [part.column(f"_{d}").flatten().to_numpy().reshape(part.num_rows, -1) for d in _DRAWS]
+    drawn = np.stack([d[rows, turn] for d in drawn], axis=1)
     cropped = pixels.unroll(pixels.crop(stack, drawn[:, :2]))
     return pixels.jitter(pixels.resize(cropped, side), drawn[:, 2:])
 

@@ -1,7 +1,6 @@
 """Steps that several jobs share."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from landtiles.fixed import FEATURE_LAYER
 from landtiles.operators.featurize import BlockFeatures, OnnxNetwork
@@ -10,7 +9,6 @@ from landtiles.operators.runlog import append_metrics, scalar_metrics, value_met
 from landtiles.session import cut
 from landtiles.sinks.tables import ModelPaths, evened, write_test_predictions
 from landtiles.sources.images import (
-    list_class_files,
     read_flat_tiles,
     read_labelled_tiles,
     read_packed_tiles,
@@ -28,15 +26,6 @@ def flat_tiles(spark: SparkSession, root: str, fraction: float, packed: bool) ->
     return read(spark, root, fraction)
 
 
-def class_files(spark: SparkSession, root: str, packed: bool) -> DataFrame:
-    """``filename, label``, stored, since it is used several times."""
-    if packed:
-        files = read_packed_tiles(spark, root).select(F.col("filepath").alias("filename"), "label")
-    else:
-        files = list_class_files(spark, root)
-    return cut(files, "class-files")
-
-
 def feature_extractor(spark: SparkSession, networks: str | None, pretrained: str):
     """The frozen network of this type, or block features where no networks are given."""
     if networks is None:

@@ -24,7 +24,6 @@ from landtiles.operators.models import (
 )
 from landtiles.plans.checks import check_fraction, check_retraining
 from landtiles.plans.common import (
-    class_files,
     evaluate,
     feature_extractor,
     labelled_tiles,
@@ -50,8 +49,8 @@ def retrain(
 ) -> DataFrame:
     """Returns one row ``n_total, n_correct, accuracy`` of the validation set.
 
-    A tile is decoded once and then cropped and coloured anew for every epoch. The
-    validation tiles stay as they are.
+    A tile is decoded and handed over once, then cropped and coloured anew for every epoch.
+    The validation tiles stay as they are. Map files and label index list the tiles used.
     """
     check_retraining(pretrained, depth, epochs)
     check_fraction(fraction)
@@ -76,22 +75,24 @@ def retrain(
         pretrained_model_type=pretrained, retraining_type=depth,
         output_model_name=paths.name, num_epochs=epochs, sample_frac=fraction,
     )
-    files = class_files(spark, train_root, packed)
+    features = stored(featurize(training, extractor, side, epochs=epochs), "train-features")
+    tested = cut(featurize(validation, extractor, side), "test-features")
+    files = cut(used_files(features), "class-files")
     index = cut(label_index(files), "label-index")
     write_label_index(index, paths.label_index)
     write_map_file(map_rows(files, index), f"{paths.models}/{paths.name}/map_train.tsv")
-    files = class_files(spark, validation_root, packed)
-    write_map_file(map_rows(files, index), f"{paths.models}/{paths.name}/map_test.tsv")
-    passes = training.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
-    features = stored(
-        featurize(passes, extractor, side, epoch=F.col("epoch")).drop("epoch"), "train-features"
-    )
+    write_map_file(map_rows(used_files(tested), index), f"{paths.models}/{paths.name}/map_test.tsv")
     if depth == "last_only":
         model = train_classifier(features, last_layer())
     else:
         model = train_dense_layers(features)
     save_model(model, paths.classifier)
-    return evaluate(apply_classifier(model, featurize(validation, extractor, side)), paths, run_id)
+    return evaluate(apply_classifier(model, tested), paths, run_id)
+
+
+def used_files(features: DataFrame) -> DataFrame:
+    """``filename, label`` of the tiles that gave the features, once each."""
+    return features.select(F.col("filepath").alias("filename"), "label").distinct()
 
 
 def main(argv=None) -> None:

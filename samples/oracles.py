@@ -283,6 +283,12 @@ ORACLES = {
             from tile_pixels""",
     ),
     **{name: _PLANTED for name in ("train_lr", "train_rf", "train_last_layer", "train_mlp", "score_saved_model")},
+    **{
+        name: f"""select n_total, n_total as n_correct, 1.0::double as accuracy
+                  from (select count(*) as n_total from embeddings where {_hash(_TILE)} >= 0.7)"""
+        for name in ("job_train", "job_retrain", "job_retrain_dense")
+    },
+    "job_score": f"select {_TILE} as name, 'class_' || label as pred_label from embeddings",
     "linear_head": """
         with numbers as (select vec_id, label, generate_subscripts(embedding, 1) as pos, unnest(embedding)::double as v
                          from embeddings),

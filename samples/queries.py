@@ -18,7 +18,7 @@ from landtiles.session import cut, scratch_path
 from landtiles.sinks import tables as sinks
 from landtiles.sources import images, tables
 from samples.network import network_file
-from samples.tiles import SIDE, tile_folder
+from samples.tiles import SIDE, shown_tiles, tile_folder
 from samples.views import view
 
 QUERIES = {}
@@ -500,22 +500,28 @@ def model_paths(spark, name):
 
 @query
 def job_train(spark, sf_dir):
-    root = tile_folder(spark, sf_dir)
-    return train(spark, root, root, model_paths(spark, "forest"), "resnet18", "randomforest", side=SIDE)
+    training, testing, _ = shown_tiles(spark, sf_dir)
+    return train(spark, training, testing, model_paths(spark, "forest"), "resnet18", "randomforest")
 
 
 @query
 def job_retrain(spark, sf_dir):
-    root = tile_folder(spark, sf_dir)
-    return retrain(spark, root, root, model_paths(spark, "layer"), "alexnet", "last_only", 2, side=SIDE)
+    training, testing, _ = shown_tiles(spark, sf_dir)
+    return retrain(spark, training, testing, model_paths(spark, "layer"), "alexnet", "last_only")
+
+
+@query
+def job_retrain_dense(spark, sf_dir):
+    training, testing, _ = shown_tiles(spark, sf_dir)
+    return retrain(spark, training, testing, model_paths(spark, "dense"), "resnet18", "fully_connected")
 
 
 @query
 def job_score(spark, sf_dir):
-    root = tile_folder(spark, sf_dir)
+    training, testing, flat = shown_tiles(spark, sf_dir)
     paths = model_paths(spark, "logistic")
-    train(spark, root, root, paths, "alexnet", "logisticregression", side=SIDE)
-    return score(spark, tile_folder(spark, sf_dir, labelled=False), paths, side=SIDE)
+    train(spark, training, testing, paths, "alexnet", "logisticregression")
+    return score(spark, flat, paths)
 
 
 @query

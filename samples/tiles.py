@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landtiles.functions.vectors import hash_fraction
 from landtiles.session import scratch_path
 from samples.views import view
 
@@ -24,6 +25,39 @@ def _folder(spark_app: str, sf_dir: str, labelled: bool) -> str:
     return root
 
 
+# A colour per class that brightness, contrast and saturation do not turn into another.
+SHOWN = [(30, 30, 30), (30, 30, 220), (30, 220, 30), (30, 220, 220), (220, 30, 30), (220, 30, 220), (220, 220, 30),
+         (220, 220, 220), (220, 125, 30), (30, 125, 220)]
+TRAINED_SHARE = 0.7
+
+
+@cache
+def _shown(spark_app: str, sf_dir: str) -> tuple[str, str, str]:
+    spark = SparkSession.active()
+    root = scratch_path(spark, "shown-tiles")
+    pixels = view(spark, sf_dir, "tile_pixels")
+    name = F.concat(F.lit("tile_"), "vec_id", F.lit(".png"))
+    colours = F.array(*(F.array(*map(F.lit, c)) for c in SHOWN))
+    colour = colours[F.col("label").cast("int")]
+
+    def channel(c: str, i: int):
+        """A little of the tile's own pattern stays."""
+        return F.transform(c, lambda v: (colour[i] + v % 12).cast("int")).alias(c)
+
+    folder = F.concat(F.lit("class_"), "label", F.lit("/")).alias("folder")
+    painted = pixels.select(name.alias("name"), folder, *(channel(c, i) for i, c in enumerate("rgb")))
+    labelled = painted.withColumn("name", F.concat("folder", "name"))
+    write_png(labelled.where(hash_fraction(F.substring_index("name", "/", -1)) < TRAINED_SHARE), folders[0], SIDE)
+    write_png(labelled.where(hash_fraction(F.substring_index("name", "/", -1)) >= TRAINED_SHARE), folders[1], SIDE)
+    write_png(painted, folders[2], SIDE)
+    return folders
+
+
+def shown_tiles(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """A training folder, a held-out folder and a flat folder of all tiles; pictures show their class."""
+    return _shown(spark.sparkContext.applicationId, sf_dir)
+
+
 def tile_folder(spark: SparkSession, sf_dir: str, labelled: bool = True) -> str:
     """Folder with one tile per row of ``embeddings``; drawn once per application."""
     return _folder(spark.sparkContext.applicationId, sf_dir, labelled)

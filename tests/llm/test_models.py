@@ -201,7 +201,8 @@ def test_without_labels_every_language_is_undetermined(odd, odd_rows):
 def test_segmentations_are_lossless_and_repeatable(odd, odd_rows):
     rows = pieces.decoded(pieces.encoded(odd)).collect()
     assert sorted((r.doc_id or -1, r.decoded) for r in rows) == sorted((i or -1, t or "") for i, t in odd_rows)
-    again = pieces.encoded(odd.repartition(7)).collect()
+    again = pieces.encoded(odd.repartition(7), decode=True).collect()
+    assert sorted((r.doc_id or -1, r.decoded) for r in again) == sorted((i or -1, t or "") for i, t in odd_rows)
     keyed = lambda rs: sorted((r.doc_id or -1, bytes(r.ids)) for r in rs)
     assert keyed(rows) == keyed(again)
 
