@@ -35,6 +35,7 @@ TRAINED_SHARE = 0.7
 def _shown(spark_app: str, sf_dir: str) -> tuple[str, str, str]:
     spark = SparkSession.active()
     root = scratch_path(spark, "shown-tiles")
+    folders = f"{root}/train", f"{root}/test", f"{root}/flat"
     pixels = view(spark, sf_dir, "tile_pixels")
     name = F.concat(F.lit("tile_"), "vec_id", F.lit(".png"))
     colours = F.array(*(F.array(*map(F.lit, c)) for c in SHOWN))
