@@ -22,17 +22,29 @@ def documents(spark, sf_dir: str) -> DataFrame:
 def bounded_sample(rows: DataFrame, strata: str, most: int, longest: int = 1 << 16) -> DataFrame:
     """About ``most`` rows of each value of ``strata``, chosen by a hash of ``doc_id``; all rows where there are fewer.
 
-    Rows whose text has more than ``longest`` bytes are not drawn, so that the sample has a bound in
-    bytes too. ``strata`` is a column of few values, whose counts come to the driver.
+    ``size`` is the bytes of a row's text. Rows with more than ``longest`` bytes are not drawn, so that the sample has a bound in
+    bytes too. ``strata`` is a column of few values, whose counts come to the driver. Column ``total`` is the number
+    of all rows with the row's value, long ones included.
     """
     rows = rows.where(F.col(strata).isNotNull() & F.col("doc_id").isNotNull())
-    rows = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)
-    counts = rows.groupBy(strata).count().orderBy(F.desc("count"), strata).limit(256).collect()
+    short = F.coalesce("size", F.lit(0)) <= longest
+    counts = (
+        rows.groupBy(strata).agg(F.count_if(short).alias("count"), F.count(F.lit(1)).alias("total"))
+        .where("count > 0").orderBy(F.desc("count"), strata).limit(256).collect()
+    )
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    chosen = F.lit(False)
-    for value, count in counts:
+    chosen, total = F.lit(False), F.lit(None).cast("bigint")
+    for value, count, every in counts:
         chosen = chosen | ((F.col(strata) == F.lit(value)) & (draw < most / count))
-    return rows.where(chosen)
+        total = F.when(F.col(strata) == F.lit(value), F.lit(every)).otherwise(total)
+    return rows.where(short & chosen).withColumn("total", total)
+
+
+def natural_weights(marks: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Weights of sampled rows, 1 on average, that give each mark its share of the rows the sample was drawn from."""
+    sampled = np.unique(marks, return_inverse=True, return_counts=True)
+    weight = totals / sampled[2][sampled[1]]
+    return weight / weight.mean()
 
 
 def scored(

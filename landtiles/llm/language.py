@@ -116,7 +116,8 @@ def best_language(trees: Trees, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 def fit_languages(docs: DataFrame, per_language: int = SAMPLE, order: int = ORDER) -> Trees | None:
     """Trees from at most about ``per_language`` labelled texts of each language, outside the held-out fold."""
-    rows = bounded_sample(docs.where(fold("doc_id", 5) != 0).select("doc_id", "text", "lang"), "lang", per_language)
+    learned = docs.where(fold("doc_id", 5) != 0).select("doc_id", "text", "lang", F.octet_length("text").alias("size"))
+    rows = bounded_sample(learned, "lang", per_language)
     samples: dict[str, list[bytes]] = {}
     for text, lang in sorted(rows.where(F.col("text").rlike(HAS_LETTER)).select("text", "lang").collect()):
         samples.setdefault(lang, []).append(text.encode())

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from landtiles.llm.common import bounded_sample, fold, kept_where, scored, sigmoid
 from landtiles.llm.spans import Texts, occurrences, owners, paired, sums_within
+from landtiles.session import cut
 
 SAMPLE = 4000  # labelled texts of each mark whose features are fitted
 PAIRS_PER_TEXT = 4
@@ -138,6 +139,14 @@ def labelled(docs: DataFrame, labels: DataFrame, mark: str) -> DataFrame:
     return docs.select("doc_id", "text").join(marks.dropDuplicates(["doc_id"]), "doc_id")
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, mark: str, most: int) -> DataFrame:
+    """``doc_id, text, mark, total`` of a bounded sample of ``labelled``; texts that are not drawn are not shuffled."""
+    sizes = docs.select("doc_id", F.octet_length("text").alias("text"))
+    rows = cut(labelled(sizes, labels, mark).withColumnRenamed("text", "size"), "labelled")
+    drawn = cut(bounded_sample(rows, "mark", most).select("doc_id", "mark", "total").distinct(), "drawn")
+    return docs.select("doc_id", "text").join(drawn, "doc_id")
+
+
 def feature_rows(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the array of features of each row."""
     return scored(docs, {"features": "array<double>"}, lambda _, texts: [list(features(texts))])
@@ -147,7 +156,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Ranke
     """A ranker from at most about ``most`` texts of each mark, outside the held-out fold."""
     marks = labels.where((fold("doc_id", 5) != 0) & F.col("quality").isin(0, 1))
     counts = dict(marks.groupBy("quality").count().collect())
-    rows = bounded_sample(labelled(docs, labels, "quality"), "mark", most)
+    rows = labelled_sample(docs, labels, "quality", most)
     found = sorted(feature_rows(rows).join(rows.select("doc_id", "mark"), "doc_id").select("doc_id", "mark", "features").collect())
     if not found:
         return None

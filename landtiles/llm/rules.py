@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landtiles.llm.common import bounded_sample, scored, sigmoid
-from landtiles.llm.quality import labelled
+from landtiles.llm.common import natural_weights, scored, sigmoid
+from landtiles.llm.quality import labelled_sample
 from landtiles.llm.spans import IS_SPACE, Texts, chunks, mixed, occurrences, owners, paired, sums_within
 
 SAMPLE = 2000  # labelled texts of each mark for fit and calibration together
@@ -135,16 +135,20 @@ def fit_linear(runs: Iterable[Texts], marks: np.ndarray, epochs: int = EPOCHS, s
     return Linear(weight.astype(np.float32), bias)
 
 
-def calibrate(raw: np.ndarray, marks: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """Slope and shift of the logistic curve from raw scores to marks, with the usual smoothed targets."""
+def calibrate(raw: np.ndarray, marks: np.ndarray, weight: np.ndarray | None = None, steps: int = 50) -> tuple[float, float]:
+    """Slope and shift of the logistic curve from raw scores to marks, with the usual smoothed targets.
+
+    ``weight`` is how much each row counts, all alike if not given.
+    """
+    counts = np.ones(len(marks)) if weight is None else weight
     target = np.where(marks == 1, ((marks == 1).sum() + 1) / ((marks == 1).sum() + 2), 1 / ((marks == 0).sum() + 2))
     scale = max(raw.std(), 1e-9)
     x = np.column_stack([raw / scale, np.ones(len(raw))])
     w = np.zeros(2)
     for _ in range(steps):
         p = sigmoid(x @ w)
-        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        step = np.linalg.solve(curve, x.T @ (target - p))
+        curve = (x * (counts * p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
+        step = np.linalg.solve(curve, x.T @ (counts * (target - p)))
         w += step * min(1.0, 2.0 / (np.linalg.norm(step) + 1e-12))
     return float(w[0] / scale), float(w[1])
 
@@ -152,30 +156,32 @@ def calibrate(raw: np.ndarray, marks: np.ndarray, steps: int = 50) -> tuple[floa
 def fit_rules(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Linear | None:
     """A calibrated model from at most about ``most`` texts of each mark, outside the held-out fold.
 
-    Every fourth sampled text is for calibration. The sample is bounded and met in one task.
+    Every fourth sampled text is for calibration. The sample is bounded and met in one task. Calibration weighs its
+    texts by the counts of the marks over all training rows, so scores do not follow the bound.
     """
-    rows = bounded_sample(labelled(docs, labels, "quality"), "mark", most)
+    rows = labelled_sample(docs, labels, "quality", most)
 
     def train(batches):
         batches = list(batches)
         if not sum(map(len, batches)):
             return
         table = pa.Table.from_batches(batches).combine_chunks()
-        marks = table.column("mark").to_numpy()
+        marks, totals = table.column("mark").to_numpy(), table.column("total").to_numpy()
         apart = np.arange(len(marks)) % 4 == 3
         if len(set(marks[apart])) < 2 or len(set(marks[~apart])) < 2:
             return
         text = table.column("text").combine_chunks()
         runs = lambda where: (texts for _, _, texts in chunks(text.filter(pa.array(where))))
         model = fit_linear(runs(~apart), marks[~apart])
-        slope, shift = calibrate(np.concatenate([model.raw(texts) for texts in runs(apart)]), marks[apart])
+        raw = np.concatenate([model.raw(texts) for texts in runs(apart)])
+        slope, shift = calibrate(raw, marks[apart], natural_weights(marks[apart], totals[apart]))
         at = np.flatnonzero(model.weight)
         yield pa.RecordBatch.from_arrays(
             [pa.array([at.astype(np.int32).tobytes()]), pa.array([model.weight[at].tobytes()]), pa.array([model.bias]), pa.array([slope]), pa.array([shift])],
             names=["at", "weight", "bias", "slope", "shift"],
         )
 
-    ordered = rows.select("doc_id", "text", F.col("mark").cast("int")).repartition(1).sortWithinPartitions("doc_id")
+    ordered = rows.select("doc_id", "text", F.col("mark").cast("int"), "total").repartition(1).sortWithinPartitions("doc_id")
     found = ordered.mapInArrow(train, "at binary, weight binary, bias double, slope double, shift double").collect()
     if not found:
         return None

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landtiles.llm.common import bounded_sample, scored, sigmoid
-from landtiles.llm.quality import labelled
+from landtiles.llm.common import natural_weights, scored, sigmoid
+from landtiles.llm.quality import labelled_sample
 from landtiles.llm.spans import Texts, chunks, mixed, owners, paired
 
 SAMPLE = 3000  # labelled texts of each mark that are learned from
@@ -74,17 +74,20 @@ class Ftrl:
         step = (self.smooth + np.sqrt(n)) / self.rate + self.l2
         return np.where(np.abs(z) <= pull, 0.0, (np.sign(z) * pull - z) / step)
 
-    def learn(self, at: np.ndarray, mark: int) -> None:
+    def learn(self, at: np.ndarray, mark: int, weight: float = 1.0) -> None:
         at = np.append(at, len(self.z) - 1)
         w = self.weights(at)
-        slope = sigmoid(w.sum()) - mark
+        slope = weight * (sigmoid(w.sum()) - mark)
         n = self.n[at]
         self.z[at] += slope - (np.sqrt(n + slope * slope) - np.sqrt(n)) / self.rate * w
         self.n[at] = n + slope * slope
 
 
-def learn_weights(runs: Iterable[Texts], marks: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -> SparseWeights:
-    """Weights from texts, given in runs, and their marks."""
+def learn_weights(
+    runs: Iterable[Texts], marks: np.ndarray, weight: np.ndarray | None = None, epochs: int = EPOCHS, seed: int = 3
+) -> SparseWeights:
+    """Weights from texts, given in runs, their marks, and how much each text counts (all alike if not given)."""
+    counts = np.ones(len(marks)) if weight is None else weight
     rows = []
     for texts in runs:
         bucket, owner = buckets(texts)
@@ -92,7 +95,7 @@ def learn_weights(runs: Iterable[Texts], marks: np.ndarray, epochs: int = EPOCHS
     model, draw = Ftrl(1 << BITS), np.random.default_rng(seed)
     for _ in range(epochs):
         for i in draw.permutation(len(rows)):
-            model.learn(rows[i], marks[i])
+            model.learn(rows[i], marks[i], counts[i])
     every = model.weights(np.arange((1 << BITS) + 1))
     at = np.flatnonzero(every[:-1])
     return SparseWeights(at, every[at].astype(np.float32), float(every[-1]))
@@ -101,9 +104,10 @@ def learn_weights(runs: Iterable[Texts], marks: np.ndarray, epochs: int = EPOCHS
 def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> SparseWeights | None:
     """Weights from at most about ``most`` texts of each mark, outside the held-out fold.
 
-    FTRL goes through its examples one after the other, so the sample, which is bounded, meets in one task.
+    FTRL goes through its examples one after the other, so the sample, which is bounded, meets in one task. Its
+    texts are weighed by the counts of the marks over all training rows, so the bias does not follow the bound.
     """
-    rows = bounded_sample(labelled(docs, labels, "toxic"), "mark", most)
+    rows = labelled_sample(docs, labels, "toxic", most)
 
     def train(batches):
         batches = list(batches)
@@ -111,7 +115,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Spar
             return
         table = pa.Table.from_batches(batches).combine_chunks()
         text = table.column("text").combine_chunks()
-        model = learn_weights((texts for _, _, texts in chunks(text)), table.column("mark").to_numpy())
+        marks = table.column("mark").to_numpy()
+        weight = natural_weights(marks, table.column("total").to_numpy())
+        model = learn_weights((texts for _, _, texts in chunks(text)), marks, weight)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([model.at.tolist()], pa.list_(pa.int64())),
@@ -121,7 +127,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Spar
             names=["at", "weight", "bias"],
         )
 
-    ordered = rows.select("doc_id", "text", F.col("mark").cast("int")).repartition(1).sortWithinPartitions("doc_id")
+    ordered = rows.select("doc_id", "text", F.col("mark").cast("int"), "total").repartition(1).sortWithinPartitions("doc_id")
     found = ordered.mapInArrow(train, "at array<bigint>, weight array<float>, bias double").collect()
     return SparseWeights(np.array(found[0].at, np.int64), np.array(found[0].weight, np.float32), found[0].bias) if found else None
 
