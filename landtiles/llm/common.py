@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landtiles.llm.spans import chunks
+from landtiles.session import cut
+
+LEAST = 8  # rows drawn of a value of any size, if it has as many
 
 
 def fold(doc_id: Column | str, folds: int) -> Column:
@@ -22,22 +25,17 @@ def documents(spark, sf_dir: str) -> DataFrame:
 def bounded_sample(rows: DataFrame, strata: str, most: int, longest: int = 1 << 16) -> DataFrame:
     """About ``most`` rows of each value of ``strata``, chosen by a hash of ``doc_id``; all rows where there are fewer.
 
-    ``size`` is the bytes of a row's text. Rows with more than ``longest`` bytes are not drawn, so that the sample has a bound in
-    bytes too. ``strata`` is a column of few values, whose counts come to the driver. Column ``total`` is the number
-    of all rows with the row's value, long ones included.
+    ``size`` is the bytes of a row's text. All rows of a value have the same chance, however long they are. Where a
+    value's rows have more than ``longest`` bytes on average, the chance is smaller, so that about ``most * longest``
+    bytes are drawn, but not below that of about ``LEAST`` rows. There may be any number of values: their counts are
+    a stored table, joined to the rows. Column ``total`` is the number of all rows with the row's value.
     """
     rows = rows.where(F.col(strata).isNotNull() & F.col("doc_id").isNotNull())
-    short = F.coalesce("size", F.lit(0)) <= longest
-    counts = (
-        rows.groupBy(strata).agg(F.count_if(short).alias("count"), F.count(F.lit(1)).alias("total"))
-        .where("count > 0").orderBy(F.desc("count"), strata).limit(256).collect()
-    )
+    counts = rows.groupBy(strata).agg(F.count(F.lit(1)).alias("total"), F.sum(F.coalesce("size", F.lit(0))).alias("bytes"))
+    within = F.least(F.lit(float(most)), F.lit(float(most) * longest) * F.col("total") / F.greatest("bytes", F.lit(1)))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    chosen, total = F.lit(False), F.lit(None).cast("bigint")
-    for value, count, every in counts:
-        chosen = chosen | ((F.col(strata) == F.lit(value)) & (draw < most / count))
-        total = F.when(F.col(strata) == F.lit(value), F.lit(every)).otherwise(total)
-    return rows.where(short & chosen).withColumn("total", total)
+    chosen = draw < F.greatest(within, F.lit(float(min(LEAST, most)))) / F.col("total")
+    return rows.join(cut(counts, "strata"), strata).where(chosen).drop("bytes")
 
 
 def natural_weights(marks: np.ndarray, totals: np.ndarray) -> np.ndarray:

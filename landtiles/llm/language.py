@@ -115,7 +115,11 @@ def best_language(trees: Trees, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_languages(docs: DataFrame, per_language: int = SAMPLE, order: int = ORDER) -> Trees | None:
-    """Trees from at most about ``per_language`` labelled texts of each language, outside the held-out fold."""
+    """Trees from at most about ``per_language`` labelled texts of each language, outside the held-out fold.
+
+    Every value of ``lang`` with a lettered text in the sample gets a tree. The sample and the trees, a column per
+    language, lie on the driver.
+    """
     learned = docs.where(fold("doc_id", 5) != 0).select("doc_id", "text", "lang", F.octet_length("text").alias("size"))
     rows = bounded_sample(learned, "lang", per_language)
     samples: dict[str, list[bytes]] = {}
