@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landtiles.llm import audit, chosenpath, grace, interpolation, language, merkle, packing, pieces, quality, rules, sharding, toxicity
+from landtiles.llm import audit, chosenpath, grace, interpolation, language, merkle, packing, pieces, quality, rules, sharding, suffixes, toxicity
 from landtiles.llm.common import documents, fold
 from landtiles.session import cut
 
@@ -215,3 +215,12 @@ ends as (
   from leaves l join tops p on l.lang is not distinct from p.lang left join paths using (doc_id))
 select *, folded_root = root as verified from ends
 """
+
+
+@query
+def op13_suffix_dedup(spark, sf_dir):
+    removed = F.aggregate(F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("bigint"), lambda total, n: total + n)
+    return suffixes.without_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
