@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landtiles.llm.spans import parts_of
+from landtiles.llm.spans import mixed, parts_of
 from landtiles.session import cut
 
 LENGTH = 50
@@ -164,7 +164,8 @@ class Block:
     def slices(self, texts: np.ndarray):
         begin, count, lead, hashes = slices(self.data, self.starts[texts], self.ends[texts], self.length)
         owner = np.searchsorted(self.starts[texts], begin, side="right") - 1
-        return begin, count, lead, hashes >> np.uint64(64 - HASH_BITS), texts[owner]
+        # leads are chosen by small hashes; hashed once more they fill all parts evenly
+        return begin, count, lead, mixed(hashes) >> np.uint64(64 - HASH_BITS), texts[owner]
 
 
 def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
