@@ -513,7 +513,7 @@ def job_retrain(spark, sf_dir):
 @query
 def job_retrain_dense(spark, sf_dir):
     training, testing, _ = shown_tiles(spark, sf_dir)
-    return retrain(spark, training, testing, model_paths(spark, "dense"), "resnet18", "fully_connected")
+    return retrain(spark, training, testing, model_paths(spark, "dense"), "alexnet", "fully_connected")
 
 
 @query

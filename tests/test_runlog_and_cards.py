@@ -47,10 +47,11 @@ def test_series_follow_epoch_numbers(spark, log):
     }
 
 
-def test_number_that_is_none_becomes_null(spark):
+def test_number_that_is_none_ends_the_job(spark):
     line = LINES[0].replace("1.5", "1.5.2")
     rows = spark.createDataFrame([(line,)], "value string")
-    assert runlog.epoch_lines(rows).first().loss is None
+    with pytest.raises(PySparkException, match="missing loss"):
+        runlog.epoch_lines(rows).first()
 
 
 def test_report_job_appends(spark, log, tmp_path):
