@@ -71,15 +71,6 @@ def write_card(spark: SparkSession, path: str, values: dict[str, str]) -> None:
     spark.createDataFrame(lines, "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
-def append_tiles(tiles: DataFrame, path: str) -> None:
-    """Add decoded tiles to a Parquet table.
-
-    A file listing is held on the driver, so a set of very many tiles is brought into one
-    table folder by folder and read from there with ``read_packed_tiles``.
-    """
-    tiles.write.mode("append").parquet(path)
-
-
 def evened(rows: DataFrame) -> DataFrame:
     """Rows spread over files of useful size.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from landtiles.functions.paths import base_name, class_name, file_path
 from landtiles.functions.vectors import hash_fraction
+from landtiles.sinks.ledger import committed
 
 
 def read_labelled_tiles(
@@ -33,8 +34,8 @@ def read_flat_tiles(spark: SparkSession, root: str, fraction: float = 1.0) -> Da
 
 
 def read_packed_tiles(spark: SparkSession, path: str, fraction: float = 1.0) -> DataFrame:
-    """Tiles that ``append_tiles`` stored; the sample is the one the files would give."""
-    tiles = spark.read.parquet(path)
+    """Tiles that the job ``pack`` stored; the sample is the one the files would give."""
+    tiles = committed(spark, path)
     name = base_name(F.col("filepath"))
     key = F.concat_ws("/", "label", name) if "label" in tiles.columns else name
     return sampled(tiles, key, fraction)

@@ -248,6 +248,10 @@ ORACLES = {
     "flat_images": with_views(
         "tile_pixels", f"select {_TILE} as name, 8 as height, 3 as channels, {_BGR} as bgr from tile_pixels"
     ),
+    "flat_images_by_folder": with_views(
+        "tile_pixels", f"select {_TILE} as name, 8 as height, 3 as channels, {_BGR} as bgr from tile_pixels"
+    ),
+    "packed_flat_tiles": with_views("tile_pixels", f"select {_TILE} as name, {_BGR} as bgr from tile_pixels"),
     "packed_tiles": with_views(
         "tile_pixels", f"select {_TILE} as name, 'class_' || label as label, {_BGR} as bgr from tile_pixels"
     ),

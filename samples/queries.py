@@ -16,7 +16,7 @@ from landtiles.plans.score import score
 from landtiles.plans.train import train
 from landtiles.session import cut, scratch_path
 from landtiles.sinks import tables as sinks
-from landtiles.sources import images, tables
+from landtiles.sources import images, manifest, tables
 from samples.network import network_file
 from samples.tiles import SIDE, shown_tiles, tile_folder
 from samples.views import view
@@ -331,22 +331,50 @@ def image_stats(spark, sf_dir):
     )
 
 
+def stored_manifest(spark, root, labelled, **options):
+    path = scratch_path(spark, "manifest")
+    manifest.write_manifest(manifest.names_in(spark, root, labelled, **options), path, range_names=500)
+    return path
+
+
 @query
 def flat_images(spark, sf_dir):
-    found = images.read_flat_tiles(spark, tile_folder(spark, sf_dir, labelled=False))
+    """Tiles by a manifest of their names, which come from a tile index."""
+    root = tile_folder(spark, sf_dir, labelled=False)
+    index = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        F.concat(F.lit("tiles/tile_"), "vec_id", F.lit(".png")).alias("filename")
+    )
+    path = scratch_path(spark, "manifest")
+    manifest.write_manifest(manifest.names_of(index, "filename", labelled=False), path, range_names=500)
+    found = manifest.read_manifest(spark, path, root, labelled=False)
     return found.toDF("name", "tile").select(
         "name", F.col("tile.height").alias("height"), F.col("tile.nChannels").alias("channels"),
         F.hex("tile.data").alias("bgr"),
     )
 
 
+def packed_bgr(found):
+    return found.select(tile_name(), *(["label"] if "label" in found.columns else []), F.hex("image.data").alias("bgr"))
+
+
 @query
 def packed_tiles(spark, sf_dir):
-    """Tiles stored as a table in two passes over class folders, and read from there."""
+    """Tiles stored as a table by overlapping patterns of class folders, in several passes, and read from there."""
     path = scratch_path(spark, "packed")
-    pack(spark, tile_folder(spark, sf_dir), path, ["class_[0-4]", "class_[5-9]"])
-    found = images.read_packed_tiles(spark, path)
-    return found.select(tile_name(), "label", F.hex("image.data").alias("bgr"))
+    root = tile_folder(spark, sf_dir)
+    for patterns in (["class_[0-4]", "class_[3-9]"], ["class_*"]):
+        pack(spark, root, path, patterns, ranges_per_pass=1)
+    return packed_bgr(images.read_packed_tiles(spark, path))
+
+
+@query
+def packed_flat_tiles(spark, sf_dir):
+    """Tiles of a flat folder stored as a table, twice, and read from there."""
+    path = scratch_path(spark, "packed")
+    root = tile_folder(spark, sf_dir, labelled=False)
+    for _ in range(2):
+        pack(spark, root, path, None)
+    return packed_bgr(images.read_packed_tiles(spark, path))
 
 
 @query
@@ -357,10 +385,23 @@ def sampled_tiles(spark, sf_dir):
 
 @query
 def list_class_files(spark, sf_dir):
-    files = images.list_class_files(spark, tile_folder(spark, sf_dir))
+    """Files of any type, listed by tasks and counted from the manifest alone."""
+    root = tile_folder(spark, sf_dir)
+    path = stored_manifest(spark, root, True, pattern="*")
+    files = manifest.read_manifest(spark, path, root, labelled=True, content=False)
     return files.groupBy("label").agg(F.count("*").alias("n_files"))
 
 
+@query
+def flat_images_by_folder(spark, sf_dir):
+    """What the reader of folders gives, for those who have no manifest."""
+    found = images.read_flat_tiles(spark, tile_folder(spark, sf_dir, labelled=False))
+    return found.toDF("name", "tile").select(
+        "name", F.col("tile.height").alias("height"), F.col("tile.nChannels").alias("channels"),
+        F.hex("tile.data").alias("bgr"),
+    )
+
+
 @query
 def featurize_blocks(spark, sf_dir):
     """Block means less the network mean, and value shares as counts of 64 pixels."""
