@@ -1,6 +1,6 @@
 """Predictions placed on the ground: join to tile bounds, grid, pixels, map."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landtiles.fixed import BLACK, PALETTE
@@ -10,6 +10,8 @@ from landtiles.sources.tables import CORNERS
 
 # Width of one piece of a raster line. It bounds the pixels gathered into one row.
 LINE_BLOCK = 4096
+# Side of the square blocks of the sparse map; it bounds the runs of one row.
+BLOCK_SIDE = 256
 
 
 def locate(predictions: DataFrame, tiles: DataFrame) -> DataFrame:
@@ -80,28 +82,83 @@ def pixel_table(located: DataFrame, on_unknown: str = "error") -> DataFrame:
     )
 
 
-def raster_lines(pixels: DataFrame, block: int = LINE_BLOCK) -> DataFrame:
-    """``row_idx, block_idx, pixels``: the whole map, black where no tile lies.
+def z_order(row_block: Column, col_block: Column) -> Column:
+    """One number for a block of the map, its two numbers' bits in turn, so that neighbours are near each other."""
 
-    ``pixels`` is an array of ``r, g, b`` from left to right. A line wider than ``block``
-    spans several rows, numbered by ``block_idx``. The pixels are read twice, first for
-    the size of the map.
+    def spread(value: Column) -> Column:
+        value = value.cast("bigint")
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                            (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            value = value.bitwiseOR(F.shiftleft(value, shift)).bitwiseAND(F.lit(mask))
+        return value
+
+    return F.shiftleft(spread(row_block), 1).bitwiseOR(spread(col_block))
+
+
+def raster_size(pixels: DataFrame) -> DataFrame:
+    """One row ``height, width``: lines and columns of the whole map."""
+
+    def count(column: str) -> Column:
+        return (F.coalesce(F.max(column), F.lit(-1)) + 1).cast("bigint")
+
+    return pixels.agg(count("row_idx").alias("height"), count("col_idx").alias("width"))
+
+
+def raster_runs(pixels: DataFrame, side: int = BLOCK_SIDE) -> DataFrame:
+    """``z, row_idx, runs``: what is painted of each line in each block of ``side`` x ``side`` pixels.
+
+    ``runs`` is an array of ``col_idx, n, r, g, b`` from left to right: ``n`` pixels of one colour from a column on.
+    Blocks and lines without a tile have no row, so the size of the result follows the tiles and not the map. Rows
+    come in Z-order of the blocks: a window of the map lies in few stored files.
+    """
+    line, colour = ["z", "row_idx"], ["r", "g", "b"]
+    z = z_order(F.floor(F.col("row_idx") / side), F.floor(F.col("col_idx") / side))
+    placed = pixels.select(z.alias("z"), "row_idx", "col_idx", *colour).repartition(*line)
+    # a run's pixels have one distance between column and rank among the line's pixels of that colour
+    rank = F.row_number().over(Window.partitionBy(*line, *colour).orderBy("col_idx"))
+    runs = placed.withColumn("run", F.col("col_idx") - rank).groupBy(*line, *colour, "run").agg(
+        F.min("col_idx").alias("col_idx"), F.count("*").alias("n")
+    )
+    lines = runs.groupBy(*line).agg(F.array_sort(F.collect_list(F.struct("col_idx", "n", *colour))).alias("runs"))
+    return lines.orderBy("z", "row_idx")
+
+
+def pixels_of(runs: DataFrame) -> DataFrame:
+    """``row_idx, col_idx, r, g, b`` of the pixels in ``runs``."""
+    each = runs.select("row_idx", F.inline("runs"))
+    columns = F.sequence(F.col("col_idx"), F.col("col_idx") + F.col("n") - 1)
+    return each.select("row_idx", F.explode(columns).alias("col_idx"), "r", "g", "b")
+
+
+def runs_in_window(runs: DataFrame, rows: tuple[int, int], cols: tuple[int, int], side: int = BLOCK_SIDE) -> DataFrame:
+    """The stored lines of the blocks that a window of rows and columns, ends included, touches.
+
+    All these blocks lie between the Z-order numbers of the window's corners, which storage is searched by.
+    """
+    low, high = (z_order(F.lit(r // side), F.lit(c // side)) for r, c in zip(rows, cols))
+    near = runs.where(F.col("z").between(low, high) & F.col("row_idx").between(*rows))
+    touches = F.exists("runs", lambda x: (x["col_idx"] <= cols[1]) & (x["col_idx"] + x["n"] > cols[0]))
+    return near.where(touches)
+
+
+def raster_lines(runs: DataFrame, size: DataFrame, block: int = LINE_BLOCK) -> DataFrame:
+    """``row_idx, block_idx, pixels``: the whole map on request, black where no tile lies.
+
+    ``pixels`` is an array of ``r, g, b`` from left to right. A line wider than ``block`` spans several rows,
+    numbered by ``block_idx``. The result is as large as the map, whatever was painted.
     """
-    size = pixels.agg(
-        F.coalesce(F.max("row_idx"), F.lit(-1)).alias("last_row"),
-        F.coalesce(F.max("col_idx"), F.lit(-1)).alias("last_col"),
-    ).first()
+    whole = size.first()
     painted = (
-        pixels.withColumn("block_idx", F.floor(F.col("col_idx") / block))
+        pixels_of(runs).withColumn("block_idx", F.floor(F.col("col_idx") / block))
         .withColumn("at", (F.col("col_idx") - F.col("block_idx") * block).cast("int"))
         .groupBy("row_idx", "block_idx")
         .agg(F.array_sort(F.collect_list(F.struct("at", "r", "g", "b"))).alias("painted"))
     )
-    blocks = F.sequence(*(F.lit(i).cast("bigint") for i in (0, size.last_col // block)))
-    frame = pixels.sparkSession.range(size.last_row + 1).select(
+    blocks = F.sequence(*(F.lit(i).cast("bigint") for i in (0, max(0, whole.width - 1) // block)))
+    frame = runs.sparkSession.range(whole.height).select(
         F.col("id").alias("row_idx"), F.explode(blocks).alias("block_idx")
     )
-    left = F.lit(size.last_col + 1) - F.col("block_idx") * block
+    left = F.lit(whole.width) - F.col("block_idx") * block
     lines = frame.withColumn("width", F.least(F.lit(block), left).cast("int"))
     return lines.join(painted, ["row_idx", "block_idx"], "left").select(
         "row_idx", "block_idx", _filled(F.col("painted"), F.col("width")).alias("pixels")

@@ -4,12 +4,16 @@ Everything follows from the counts per (label, pred_label) pair, so the predicti
 read once and their shuffle carries at most one row per pair and task.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landtiles.functions.vectors import ratio, three_decimals
+from landtiles.operators.labels import label_index
 from landtiles.session import cut
 
+COLUMN_BLOCK = 1024  # columns of the confusion matrix in one row
+MOST_COLUMNS = 1000  # of the wide form
+
 
 def confusion_counts(predictions: DataFrame) -> DataFrame:
     """``label, pred_label, n`` for the pairs that occur."""
@@ -99,28 +103,73 @@ def class_report(per_class: DataFrame) -> DataFrame:
     )
 
 
-def confusion_matrix(counts: DataFrame) -> DataFrame:
-    """``label, pred_label, n`` for every pair of true labels, zero where none occurs.
+def confusion_cells(counts: DataFrame) -> DataFrame:
+    """``label, pred_label, n`` of the pairs of true labels that occur: the matrix without its zeros.
+
+    Predictions outside the true labels have no column; ``outside_predictions`` counts them. Hand in stored counts:
+    they are used several times.
+    """
+    return counts.join(_true_labels(counts).withColumnRenamed("label", "pred_label"), "pred_label", "left_semi")
+
+
+def confusion_blocks(counts: DataFrame, width: int = COLUMN_BLOCK) -> DataFrame:
+    """``label, block, cells``: each line of the matrix in blocks of ``width`` columns, blocks of zeros left out.
 
-    Predictions outside the true labels have no column; ``outside_predictions`` counts
-    them. The matrix itself has one row per pair, so its list of classes is small. Hand in
-    stored counts: they are used three times.
+    Columns are the true labels in sorted order, numbered by a range-partitioned sort. ``cells`` is a sorted array of
+    ``at, n``: the column's place in the block and its count.
     """
-    labels = counts.select("label").distinct()
-    columns = labels.agg(F.collect_list("label")).scalar()
-    cells = labels.withColumn("pred_label", F.explode(columns))
-    return cells.join(counts, ["label", "pred_label"], "left").select(
-        "label", "pred_label", F.coalesce("n", F.lit(0)).alias("n")
+    index = cut(label_index(_true_labels(counts)), "label-index")
+    column = index.select(F.col("label").alias("pred_label"), "idx")
+    placed = confusion_cells(counts).join(column, "pred_label").select(
+        "label", F.floor(F.col("idx") / width).alias("block"), (F.col("idx") % width).cast("int").alias("at"), "n"
     )
+    return placed.groupBy("label", "block").agg(F.array_sort(F.collect_list(F.struct("at", "n"))).alias("cells"))
+
+
+def confusion_matrix(counts: DataFrame, width: int = COLUMN_BLOCK) -> DataFrame:
+    """``label, pred_label, n`` for every pair of true labels, zero where none occurs: the square of the labels."""
+    index = cut(label_index(_true_labels(counts)), "label-index")
+    total = index.count()
+    blocks = F.sequence(*(F.lit(i).cast("bigint") for i in (0, max(0, total - 1) // width)))
+    frame = index.select("label", F.explode(blocks).alias("block"))
+    lines = frame.join(confusion_blocks(counts, width), ["label", "block"], "left")
+    size = F.least(F.lit(width), F.lit(total) - F.col("block") * width).cast("int")
+    cells = F.coalesce("cells", F.array().cast("array<struct<at:int,n:bigint>>"))
+    line = lines.select("label", "block", _filled(cells, size).alias("line"))
+    cells = line.select("label", "block", F.posexplode("line").alias("at", "n"))
+    named = index.select(F.col("label").alias("pred_label"), "idx")
+    return cells.withColumn("idx", F.col("block") * width + F.col("at")).join(named, "idx").select("label", "pred_label", "n")
 
 
 def confusion_wide(counts: DataFrame) -> DataFrame:
-    """One row per true label and one column per true label, in sorted order."""
-    labels = [row.label for row in counts.select("label").distinct().orderBy("label").collect()]
+    """One row per true label and one column per true label, in sorted order.
+
+    Column names are a part of the plan, so this form is for people and ends with an error beyond ``MOST_COLUMNS``
+    labels; ``confusion_cells`` and ``confusion_blocks`` hold for any number.
+    """
+    labels = [row.label for row in _true_labels(counts).orderBy("label").limit(MOST_COLUMNS + 1).collect()]
+    if len(labels) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} labels make no readable table; take confusion_blocks")
     wide = counts.groupBy("label").pivot("pred_label", labels).agg(F.sum("n"))
     return wide.select("label", *(F.coalesce(wide[_quoted(c)], F.lit(0)).alias(c) for c in labels))
 
 
+def _filled(cells: Column, size: Column) -> Column:
+    """Array of ``size`` counts: those of the cells, zeros between them."""
+    zero = F.lit(0).cast("bigint")
+
+    def with_gap(cell: Column, i: Column) -> Column:
+        before = F.coalesce(F.get(cells, i - 1)["at"], F.lit(-1))
+        return F.concat(F.array_repeat(zero, cell["at"] - before - 1), F.array(cell["n"]))
+
+    last = F.coalesce(F.get(cells, F.size(cells) - 1)["at"], F.lit(-1))
+    return F.concat(F.flatten(F.transform(cells, with_gap)), F.array_repeat(zero, size - last - 1))
+
+
+def _true_labels(counts: DataFrame) -> DataFrame:
+    return counts.select("label").distinct()
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -90,25 +90,3 @@ def mean_head(features: DataFrame) -> DataFrame:
     vectors = as_vectors(features)
     means = vectors.groupBy("label").agg(Summarizer.mean(F.col("vector")).alias("m"))
     return means.select("label", vector_to_array("m").alias("w"), F.lit(0.0).alias("b"))
-
-
-def linear_head(features: DataFrame, head: DataFrame, target: str = "scores") -> DataFrame:
-    """Add the scores ``features . w + b`` of each class, classes in sorted order.
-
-    ``head`` has one row per class. It is a part of the model, not of the data, and meets the rows as
-    one stored value. Features that are missing, or of another length than the weights, end the job, as
-    does a head without classes.
-    """
-    classes = head.agg(F.array_sort(F.collect_list(F.struct("label", "w", "b")))).scalar()
-    given, known = F.col("features"), F.col("_head")
-
-    def score(row):
-        products = F.zip_with(given, row["w"], lambda x, w: x.cast("double") * w.cast("double"))
-        dot = F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
-        fits = F.coalesce(F.size(given) == F.size(row["w"]), F.lit(False))
-        return F.when(fits, dot + row["b"]).otherwise(F.raise_error(F.lit("features do not fit the head")))
-
-    scores = F.when(F.size(known) > 0, F.transform(known, score)).otherwise(
-        F.raise_error(F.lit("a head without classes")).cast("array<double>")
-    )
-    return features.withColumn("_head", classes).withColumn(target, scores).drop("_head")

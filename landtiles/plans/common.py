@@ -1,8 +1,9 @@
 """Steps that several jobs share."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from landtiles.fixed import FEATURE_LAYER
+from landtiles.fixed import CARD_FIELDS, FEATURE_LAYER, SOURCE_CLASSIFIER, SOURCE_NETWORK
 from landtiles.operators.featurize import BlockFeatures, OnnxNetwork
 from landtiles.operators.metrics import confusion_counts, overall_accuracy
 from landtiles.operators.runlog import append_metrics, scalar_metrics, value_metrics
@@ -13,7 +14,7 @@ from landtiles.sources.images import (
     read_labelled_tiles,
     read_packed_tiles,
 )
-from landtiles.sources.tables import read_test_predictions
+from landtiles.sources.tables import card_fields, card_rows, read_cards, read_test_predictions
 
 
 def labelled_tiles(spark: SparkSession, root: str, fraction: float, packed: bool) -> DataFrame:
@@ -41,6 +42,27 @@ def stored(features: DataFrame, purpose: str) -> DataFrame:
     return kept
 
 
+def model_card(spark: SparkSession, paths: ModelPaths, field_names: dict[str, str] | None = None) -> dict[str, str]:
+    """The fields of the model's card; ``field_names`` maps other names of fields to those of this suite."""
+    fields = card_fields(read_cards(spark, paths.card).select("value"), [])
+    for other, known in (field_names or {}).items():
+        fields = fields.withColumn("key", F.when(F.col("key") == other, known).otherwise(F.col("key")))
+    return card_rows(fields, [], CARD_FIELDS).first().asDict()
+
+
+def model_source(card: dict[str, str], source_names: dict[str, str] | None = None) -> str:
+    """``classifier`` or ``dnn``; ``source_names`` maps other spellings to these."""
+    source = (source_names or {}).get(card["model_source"], card["model_source"])
+    if source not in (SOURCE_CLASSIFIER, SOURCE_NETWORK):
+        raise ValueError(f"unknown model source {source}")
+    return source
+
+
+def pairs_of(given: list[str]) -> dict[str, str]:
+    """``OTHER=KNOWN`` arguments as a dictionary."""
+    return dict(pair.split("=", 1) for pair in given)
+
+
 def record(spark: SparkSession, paths: ModelPaths, run_id: str, **values) -> None:
     append_metrics(scalar_metrics(spark, run_id, values), paths.metrics)
 

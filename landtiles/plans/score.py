@@ -5,26 +5,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landtiles.fixed import CARD_FIELDS, SOURCE_CLASSIFIER, SOURCE_NETWORK, TILE_SIDE
+from landtiles.fixed import SOURCE_NETWORK, TILE_SIDE
 from landtiles.operators.featurize import OnnxNetwork, featurize
 from landtiles.operators.models import apply_classifier, apply_network, load_model
 from landtiles.plans.checks import check_fraction
-from landtiles.plans.common import feature_extractor, flat_tiles, record
+from landtiles.plans.common import feature_extractor, flat_tiles, model_card, model_source, pairs_of, record
 from landtiles.session import job_session
 from landtiles.sinks.tables import ModelPaths, write_predictions
-from landtiles.sources.tables import (
-    card_fields,
-    card_rows,
-    read_cards,
-    read_label_index,
-    read_predictions,
-)
-
-
-def model_card(spark: SparkSession, paths: ModelPaths) -> dict[str, str]:
-    lines = read_cards(spark, paths.card).select("value")
-    row = card_rows(card_fields(lines, []), [], CARD_FIELDS).first()
-    return row.asDict()
+from landtiles.sources.tables import read_label_index, read_predictions
 
 
 def score(
@@ -35,27 +23,25 @@ def score(
     networks: str | None = None,
     side: int = TILE_SIDE,
     source_names: dict[str, str] | None = None,
+    field_names: dict[str, str] | None = None,
     packed: bool = False,
 ) -> DataFrame:
     """Writes ``filepath, pred_label`` and returns them as read back.
 
-    ``source_names`` maps other spellings of the model source on a card to ``classifier``
-    or ``dnn``.
+    ``source_names`` maps other spellings of the model source on a card to ``classifier`` or ``dnn``, ``field_names``
+    other names of fields to those of this suite.
     """
     check_fraction(fraction)
     tiles = flat_tiles(spark, tiles_root, fraction, packed)
-    card = model_card(spark, paths)
-    source = (source_names or {}).get(card["model_source"], card["model_source"])
-    if source == SOURCE_NETWORK:
+    card = model_card(spark, paths, field_names)
+    if model_source(card, source_names) == SOURCE_NETWORK:
         scores = featurize(tiles, OnnxNetwork(spark, paths.network), side)
         predictions = apply_network(scores, read_label_index(spark, paths.label_index))
-    elif source == SOURCE_CLASSIFIER:
+    else:
         extractor = feature_extractor(spark, networks, card["pretrained_model_type"])
         predictions = apply_classifier(
             load_model(paths.classifier), featurize(tiles, extractor, side)
         )
-    else:
-        raise ValueError(f"unknown model source {source}")
     record(spark, paths, uuid.uuid4().hex, scored_model=paths.name, sample_frac=fraction)
     write_predictions(predictions, paths.predictions)
     return read_predictions(spark, paths.predictions)
@@ -71,13 +57,15 @@ def main(argv=None) -> None:
     parser.add_argument("-f", "--fraction", type=float, default=1.0, help="share of tiles to use")
     parser.add_argument("--source-name", action="append", default=[], metavar="OTHER=KNOWN",
                         help="other spelling of a model source on a card")
+    parser.add_argument("--field-name", action="append", default=[], metavar="OTHER=KNOWN",
+                        help="other name of a field on a card")
     parser.add_argument("--packed", action="store_true", help="roots are tables of packed tiles")
     args = parser.parse_args(argv)
     check_fraction(args.fraction)
     score(
         job_session("score"), args.tiles_root, ModelPaths(args.models, args.results, args.name),
         args.fraction, args.networks,
-        source_names=dict(pair.split("=", 1) for pair in args.source_name),
+        source_names=pairs_of(args.source_name), field_names=pairs_of(args.field_name),
         packed=args.packed,
     )
 

@@ -57,6 +57,18 @@ def _lines(block: int) -> str:
     left join pixels on row_idx = y and col_idx = x group by y, x // {block}"""
 
 
+def _runs(side: int) -> str:
+    """Pixels of one colour in a row within a line of a block, as text from left to right."""
+    bits = f"((((row_idx // {side}) >> i) & 1) << (2 * i + 1)) | ((((col_idx // {side}) >> i) & 1) << (2 * i))"
+    return f""", placed as (
+        select list_sum(list_transform(range(0, 31), lambda i: {bits}))::bigint as z, row_idx, col_idx,
+               printf('%02X%02X%02X', r, g, b) as colour from pixels),
+      ranked as (select *, col_idx - row_number() over (partition by z, row_idx, colour order by col_idx) as run from placed),
+      runs as (select z, row_idx, colour, min(col_idx) as first, count(*) as n from ranked group by z, row_idx, colour, run)
+    select z, row_idx, string_agg(first || ':' || n || ':' || colour, ' ' order by first) as runs
+    from runs group by z, row_idx"""
+
+
 _EPOCHS = """, matched as (
     select regexp_extract(value,
       '^Finished Epoch\\[(\\d+) of \\d+\\]: \\[Training\\] loss = ([0-9.]+) \\* [0-9]+, metric = ([0-9.]+)% \\* [0-9]+ ([0-9.]+)s \\( ?([0-9.]+) samples/s\\);',
@@ -301,6 +313,30 @@ ORACLES = {
                   group by vec_id, h.label)
         select vec_id, (arg_max(label, score))::varchar as pred_label, round(max(score), 6) as score
         from found group by vec_id""",
-    "job_analyze": with_views(_LOCATED, _PIXELS + _lines(4096)),
-    "job_analyze_classes": with_views("pred_big", _one_vs_rest("pred_big")),
+    "linear_head_blocks": """
+        with numbers as (select vec_id, label, generate_subscripts(embedding, 1) as pos, unnest(embedding)::double as v
+                         from embeddings),
+        head as (select label, pos, avg(v) as w from numbers group by label, pos)
+        select vec_id, dense_rank() over (order by h.label::varchar) - 1 as place, round(sum(v * w), 6) as score
+        from numbers n join head h using (pos) group by vec_id, h.label""",
+    "raster_runs": with_views(_LOCATED, _PIXELS + _runs(16)),
+    "raster_size": with_views(_LOCATED, _GRID + "select max_y + 1 as height, max_x + 1 as width from size"),
+    "job_analyze": with_views(_LOCATED, _PIXELS + _runs(256)),
+    "job_analyze_located": with_views(_LOCATED, "select * from located"),
+    "job_analyze_classes": with_views(
+        "pred_big",
+        _one_vs_rest(
+            "pred_big",
+            """, 'given' as output_model_name, 'net' as model_source, 'alexnet' as pretrained_model_type,
+               'last_only' as retraining_type, 'none' as classifier_type""",
+        ),
+    ),
+    "confusion_cells": with_views("pred_big", f"select * from ({_confusion('pred_big')}) where n > 0"),
+    "confusion_blocks": with_views(
+        "pred",
+        f"""select label, place // 3 as block, string_agg((place % 3) || ':' || n, ' ' order by place) as cells
+            from ({_confusion("pred")}) join (select label as pred_label, row_number() over (order by label) - 1 as place
+                                              from (select distinct label from pred)) using (pred_label)
+            where n > 0 group by label, place // 3""",
+    ),
 }

@@ -7,8 +7,8 @@ from landtiles.fixed import CARD_FIELDS
 from landtiles.functions.paths import base_name, class_name
 from landtiles.functions.vectors import argmax, decimals, hash_fraction
 from landtiles.operators import featurize as fz
-from landtiles.operators import geo, labels, metrics, models, runlog
-from landtiles.plans.analyze import analyze
+from landtiles.operators import geo, head, labels, metrics, models, runlog
+from landtiles.plans.analyze import analyze, land_map, quality
 from landtiles.plans.log_report import log_report
 from landtiles.plans.pack import pack
 from landtiles.plans.retrain import retrain
@@ -121,6 +121,19 @@ def confusion_wide(spark, sf_dir):
     return wide.select("label", *(F.col(c).alias(f"pred_{c}") for c in wide.columns[1:]))
 
 
+@query
+def confusion_cells(spark, sf_dir):
+    return metrics.confusion_cells(metrics.stored_counts(view(spark, sf_dir, "pred_big")))
+
+
+@query
+def confusion_blocks(spark, sf_dir):
+    """Blocks of three columns."""
+    found = metrics.confusion_blocks(metrics.stored_counts(view(spark, sf_dir, "pred")), width=3)
+    cells = F.transform("cells", lambda c: F.concat_ws(":", c["at"], c["n"]))
+    return found.select("label", "block", F.array_join(cells, " ").alias("cells"))
+
+
 @query
 def metrics_at_scale(spark, sf_dir):
     counts = metrics.stored_counts(view(spark, sf_dir, "pred_big"))
@@ -185,7 +198,27 @@ def hex_lines(lines: DataFrame) -> DataFrame:
 @query
 def raster_lines(spark, sf_dir):
     """Blocks of 64 pixels, so that every line spans several."""
-    return hex_lines(geo.raster_lines(geo.pixel_table(located(spark, sf_dir)), block=64))
+    pixels = geo.pixel_table(located(spark, sf_dir))
+    return hex_lines(geo.raster_lines(geo.raster_runs(pixels), geo.raster_size(pixels), block=64))
+
+
+def run_text(runs: DataFrame) -> DataFrame:
+    def one(run):
+        colour = F.concat(*(F.lpad(F.hex(run[c]), 2, "0") for c in "rgb"))
+        return F.concat_ws(":", run["col_idx"], run["n"], colour)
+
+    return runs.select("z", "row_idx", F.array_join(F.transform("runs", one), " ").alias("runs"))
+
+
+@query
+def raster_runs(spark, sf_dir):
+    """The sparse map, in blocks of 16 x 16 pixels."""
+    return run_text(geo.raster_runs(geo.pixel_table(located(spark, sf_dir)), side=16))
+
+
+@query
+def raster_size(spark, sf_dir):
+    return geo.raster_size(geo.pixel_table(located(spark, sf_dir)))
 
 
 # ---- logs, cards, run metrics
@@ -471,11 +504,19 @@ def linear_head(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
         "vec_id", F.col("label").cast("string").alias("label"), F.col("embedding").alias("features")
     )
-    head = cut(models.mean_head(rows), "head")
-    scored = models.linear_head(rows, head)
-    return labels.predict_label(scored, "scores", labels.label_index(head)).select(
-        "vec_id", "pred_label", F.round(F.array_max("scores"), 6).alias("score")
+    best = head.best_of_head(rows, cut(models.mean_head(rows), "head"))
+    return best.select("vec_id", "pred_label", F.round("score", 6).alias("score"))
+
+
+@query
+def linear_head_blocks(spark, sf_dir):
+    """All scores, from a head cut into tiles of 3 classes by 16 positions."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        "vec_id", F.col("label").cast("string").alias("label"), F.col("embedding").alias("features")
     )
+    scored = head.linear_head(rows, cut(models.mean_head(rows), "head"), classes=3, positions=16)
+    found = scored.select("vec_id", F.posexplode("scores").alias("place", "score"))
+    return found.select("vec_id", F.col("place").cast("bigint").alias("place"), F.round("score", 6).alias("score"))
 
 
 def planted(spark, sf_dir):
@@ -578,27 +619,50 @@ def job_score_network(spark, sf_dir):
     return score(spark, tile_folder(spark, sf_dir, labelled=False), paths, side=SIDE)
 
 
-def analysis(spark, sf_dir):
+def network_card(spark, paths):
+    """A card as another program writes it: other names of a field and of the source."""
+    lines = [("output_model_name,given",), ("model_source,net",), ("pretrained_model_type,alexnet",), ("retraining_type,last_only",),
+             ("other_type,none",)]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.text(paths.card)
+    return {"source_names": {"net": "dnn"}, "field_names": {"other_type": "classifier_type"}}
+
+
+def tested(spark, sf_dir, paths):
+    """Test predictions as the network path writes them, whose first column is ``filename``."""
+    name = F.concat_ws("/", F.lit("test"), "l_orderkey", "l_linenumber").alias("filename")
+    rows = view(spark, sf_dir, "pred_big").select(name, "label", "pred_label")
+    rows.write.csv(paths.test_predictions, header=True, escape='"')
+
+
+def mapped(spark, sf_dir):
     paths = model_paths(spark, "given")
-    name = F.concat_ws("/", F.lit("test"), "l_orderkey", "l_linenumber").alias("filepath")
-    sinks.write_test_predictions(
-        view(spark, sf_dir, "pred_big").select(name, "label", "pred_label"), paths.test_predictions
-    )
     sinks.write_predictions(view(spark, sf_dir, "scored"), paths.predictions)
     bounds = f"{paths.results}/tile_summaries.csv"
     sinks.write_tile_index(view(spark, sf_dir, "tile_index"), bounds)
-    return analyze(spark, paths, bounds)
+    return paths, bounds
 
 
 @query
 def job_analyze(spark, sf_dir):
-    """The map of the scored tiles."""
-    return hex_lines(analysis(spark, sf_dir)["map_lines"])
+    """The whole job; its sparse map of the scored tiles."""
+    paths, bounds = mapped(spark, sf_dir)
+    tested(spark, sf_dir, paths)
+    return run_text(analyze(spark, paths, bounds, **network_card(spark, paths))["map_runs"])
+
+
+@query
+def job_analyze_located(spark, sf_dir):
+    paths, bounds = mapped(spark, sf_dir)
+    return land_map(spark, paths, bounds)["located"]
 
 
 @query
 def job_analyze_classes(spark, sf_dir):
-    return rounded(analysis(spark, sf_dir)["per_class"], "precision", "recall", "accuracy")
+    paths = model_paths(spark, "given")
+    tested(spark, sf_dir, paths)
+    found = quality(spark, paths, **network_card(spark, paths))
+    card = found["card"].first().asDict()
+    return rounded(found["per_class"], "precision", "recall", "accuracy").withColumns({c: F.lit(v) for c, v in card.items()})
 
 
 @query

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
@@ -33,7 +35,8 @@ def painted(rows):
 def test_map_equals_a_painted_array(spark, block):
     rows = rows_on_grid(90, 9, 14)
     located = spark.createDataFrame(rows, LOCATED).repartition(5)
-    lines = geo.raster_lines(geo.pixel_table(located), block=block).collect()
+    pixels = geo.pixel_table(located)
+    lines = geo.raster_lines(geo.raster_runs(pixels, side=5), geo.raster_size(pixels), block=block).collect()
     wanted = painted(rows)
     found = [[] for _ in wanted]
     for line in sorted(lines, key=lambda r: (r.row_idx, r.block_idx)):
@@ -74,7 +77,53 @@ def test_class_without_colour(spark):
 
 def test_no_located_tiles_give_an_empty_map(spark):
     pixels = geo.pixel_table(spark.createDataFrame([], LOCATED))
-    assert geo.raster_lines(pixels).count() == 0
+    runs, size = geo.raster_runs(pixels), geo.raster_size(pixels)
+    assert tuple(size.first()) == (0, 0) and runs.count() == 0 and geo.raster_lines(runs, size).count() == 0
+
+
+@pytest.mark.parametrize("side", [1, 3, 256])
+def test_runs_are_the_painted_pixels_of_their_block(spark, side):
+    rows = rows_on_grid(300, 12, 17, seed=4)
+    pixels = geo.pixel_table(spark.createDataFrame(rows, LOCATED))
+    painted_ = {(p.row_idx, p.col_idx): (p.r, p.g, p.b) for p in pixels.collect()}
+    found, order = {}, []
+    for line in geo.raster_runs(pixels, side).collect():
+        order.append((line.z, line.row_idx))
+        ends = None
+        for run in line.runs:
+            assert run.n >= 1 and line.z == plain_z(line.row_idx // side, run.col_idx // side)
+            assert run.col_idx // side == (run.col_idx + run.n - 1) // side
+            assert ends is None or run.col_idx > ends[0] or (run.col_idx == ends[0] and (run.r, run.g, run.b) != ends[1])
+            ends = run.col_idx + run.n, (run.r, run.g, run.b)
+            found |= {(line.row_idx, run.col_idx + k): ends[1] for k in range(run.n)}
+    assert found == painted_ and order == sorted(order)
+
+
+def plain_z(row, col):
+    return sum(((row >> i & 1) << 2 * i + 1) | ((col >> i & 1) << 2 * i) for i in range(31))
+
+
+def test_two_far_tiles_take_two_rows(spark):
+    """A map of a million by a million pixels with two tiles on it."""
+    pixels = spark.createDataFrame([(0, 0, 1, 2, 3), (999_999, 999_999, 4, 5, 6)], "row_idx bigint, col_idx bigint, r int, g int, b int")
+    assert tuple(geo.raster_size(pixels).first()) == (1_000_000, 1_000_000)
+    found = geo.raster_runs(pixels).collect()
+    assert [(r.z, r.row_idx, [tuple(x) for x in r.runs]) for r in found] == [
+        (0, 0, [(0, 1, 1, 2, 3)]), (plain_z(999_999 // 256, 999_999 // 256), 999_999, [(999_999, 1, 4, 5, 6)])
+    ]
+
+
+def test_window_of_the_map_reads_few_blocks(spark, tmp_path):
+    pixels = spark.range(200 * 200).select(
+        F.floor(F.col("id") / 200).alias("row_idx"), (F.col("id") % 200).alias("col_idx"),
+        *(F.lit(i).alias(c) for i, c in enumerate("rgb")),
+    )
+    path = f"{tmp_path}/runs"
+    geo.raster_runs(pixels, 8).write.parquet(path)
+    some = geo.runs_in_window(spark.read.parquet(path), (40, 44), (16, 30), 8)
+    assert re.search(r"z#\d+L >= \d+", some._jdf.queryExecution().executedPlan().toString())
+    found = {(p.row_idx, p.col_idx) for p in geo.pixels_of(some).collect()}
+    assert found == {(r, c) for r in range(40, 45) for c in range(16, 32)}
 
 
 def test_join_multiplies_repeated_names_and_reports_them(spark):

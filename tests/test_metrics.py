@@ -2,6 +2,7 @@ import random
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from landtiles.operators import metrics
 from landtiles.sources import tables
@@ -57,6 +58,35 @@ def test_matrix_is_limited_to_true_labels(counts):
     assert [tuple(r) for r in wide.collect()] == [("a", 2, 1, 0), ("b", 0, 1, 0), ("d", 1, 0, 0)]
 
 
+@pytest.mark.parametrize("width", [1, 2, 3, 1024])
+def test_matrix_in_blocks_of_columns(counts, width):
+    labels = ["a", "b", "d"]
+    dense = {(r.label, r.pred_label): r.n for r in metrics.confusion_matrix(counts, width).collect()}
+    cells = {(r.label, r.pred_label): r.n for r in metrics.confusion_cells(counts).collect()}
+    assert cells == {k: n for k, n in dense.items() if n}
+    found = {}
+    for r in metrics.confusion_blocks(counts, width).collect():
+        assert r.cells and all(c.at < width for c in r.cells)
+        found |= {(r.label, labels[r.block * width + c.at]): c.n for c in r.cells}
+    assert found == cells
+
+
+def test_matrix_of_a_million_classes(spark):
+    """Five million cells that occur, of 10 ** 12."""
+    n = 1_000_000
+    name = lambda c: F.format_string("c%07d", c)
+    cells = spark.range(n).select("id", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("k")).select(
+        name(F.col("id")).alias("label"), name((F.col("id") * 7 + F.col("k") * 1000) % n).alias("pred_label"), (F.col("k") + 1).cast("bigint").alias("n")
+    )
+    blocks = metrics.confusion_blocks(cells)
+    found = blocks.select("label", "block", F.inline("cells")).agg(
+        F.count("*").alias("cells"), F.sum("n").alias("n"), F.max(F.col("block") * 1024 + F.col("at")).alias("last"), F.count_distinct("label").alias("labels")
+    ).first()
+    assert tuple(found) == (5 * n, 15 * n, n - 1, n)
+    with pytest.raises(ValueError, match="confusion_blocks"):
+        metrics.confusion_wide(cells)
+
+
 def test_report_says_undefined(counts):
     found = {r.label: r for r in metrics.class_report(metrics.one_vs_rest(counts)).collect()}
     assert found["d"].precision.startswith("Undefined")

@@ -4,7 +4,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from landtiles.functions.paths import base_name
-from landtiles.operators import models, runlog
+from landtiles.operators import head, models, runlog
 from landtiles.operators.featurize import BlockFeatures, featurize
 from landtiles.operators.labels import label_index
 from landtiles.plans import checks
@@ -12,7 +12,8 @@ from landtiles.plans import train as train_job
 from landtiles.plans.analyze import analyze
 from landtiles.plans.pack import pack
 from landtiles.plans.retrain import retrain
-from landtiles.plans.score import model_card, score
+from landtiles.plans.common import model_card
+from landtiles.plans.score import score
 from landtiles.plans.train import train
 from landtiles.session import cut
 from landtiles.sinks import tables as sinks
@@ -90,21 +91,50 @@ def test_saved_model_predicts_alike(spark, planted, tmp_path):
 
 
 def test_linear_head_by_brute_force(spark, planted):
-    head = cut(models.mean_head(planted), "head")
-    rows = head.orderBy("label").collect()
-    weights = np.array([r.w for r in rows])
-    for r in models.linear_head(planted, head).collect():
-        assert np.allclose(r.scores, weights @ np.array(r.features), atol=1e-9)
-    with pytest.raises(Exception, match="without classes"):
-        models.linear_head(planted, head.limit(0)).collect()
+    means = cut(models.mean_head(planted), "head").withColumn("b", F.length("label") * 0.25)
+    rows = means.orderBy("label").collect()
+    weights, bias = np.array([r.w for r in rows]), np.array([r.b for r in rows])
+    names = [r.label for r in rows]
+    for sizes in ({}, {"classes": 2, "positions": 3}, {"classes": 1, "positions": 1}):
+        for r in head.linear_head(planted, means, **sizes).collect():
+            assert np.allclose(r.scores, weights @ np.array(r.features) + bias, atol=1e-9)
+        for r in head.best_of_head(planted, means, **sizes).collect():
+            scores = weights @ np.array(r.features) + bias
+            assert r.pred_label == names[scores.argmax()] and abs(r.score - scores.max()) < 1e-9
+    with pytest.raises(ValueError, match="without classes"):
+        head.linear_head(planted, means.limit(0))
+    with pytest.raises(ValueError, match="one row a class"):
+        head.linear_head(planted, means.union(means))
+
+
+def test_head_of_very_many_classes(spark):
+    """Class k points to angle k, so the best class of a point is the one with the nearest angle."""
+    n = 100_000
+    angle = F.col("id") * (2 * np.pi / n)
+    classes = spark.range(n).select(
+        F.lpad(F.col("id").cast("string"), 6, "0").alias("label"), F.array(F.cos(angle), F.sin(angle)).alias("w"), F.lit(0.0).alias("b")
+    )
+    wanted = [7, 33_333, 50_000, 99_999]
+    points = [(k, [float(3 * np.cos(2 * np.pi * k / n)), float(3 * np.sin(2 * np.pi * k / n))]) for k in wanted]
+    found = head.best_of_head(spark.createDataFrame(points, "k bigint, features array<double>"), classes, positions=1).collect()
+    assert {r.k: (int(r.pred_label), round(r.score, 9)) for r in found} == {k: (k, 3.0) for k in wanted}
+    equal = spark.createDataFrame([("b", [1.0], 0.0), ("a", [1.0], 0.0), ("c", [0.5], 0.0)], "label string, w array<double>, b double")
+    best = head.best_of_head(spark.createDataFrame([([2.0],)], "features array<double>"), equal, classes=1).first()
+    assert (best.pred_label, best.score) == ("a", 2.0)
+
+
+def test_head_tables_are_joined_without_a_scalar_subquery(spark, planted):
+    means = cut(models.mean_head(planted), "head")
+    plan = head.best_of_head(planted, means)._jdf.queryExecution().analyzed().toString()
+    assert "scalar-subquery" not in plan
 
 
 def test_linear_head_takes_no_uneven_rows(spark):
-    head = spark.createDataFrame([("a", [1.0, 0.0], 0.0), ("b", [0.0, 1.0], 0.5)], "label string, w array<double>, b double")
+    given = spark.createDataFrame([("a", [1.0, 0.0], 0.0), ("b", [0.0, 1.0], 0.5)], "label string, w array<double>, b double")
     for rows in ([([1.0, 2.0, 3.0],), ([4.0],)], [([1.0, 2.0],), (None,)]):
         frame = spark.createDataFrame(rows, "features array<float>")
         with pytest.raises(Exception, match="do not fit"):
-            models.linear_head(frame, head).collect()
+            head.linear_head(frame, given).collect()
 
 
 @pytest.fixture(scope="module")
@@ -152,9 +182,14 @@ def test_train_score_and_analyze(spark, tiles, tmp_path, kind):
     assert len(found) == 80
     assert np.mean([expected(n) == p for n, p in found.items()]) >= 0.9
 
-    reports = analyze(spark, paths, f"{tiles}/county/tile_summaries.csv")
+    reports = analyze(spark, paths, f"{tiles}/county/tile_summaries.csv", dense=True)
     assert reports["accuracy"].first().accuracy == row.accuracy
     assert reports["join_report"].first().n_located == 80
+    assert [r.name for r in reports["located_head"].collect()] == sorted(found)[:5]
+    assert {r.name: r.pred_label for r in reports["located"].collect()} == found
+    assert reports["card"].first().asDict() == model_card(spark, paths)
+    assert tuple(reports["map_size"].first()) == (8, 10)
+    assert sum(run.n for line in reports["map_runs"].collect() for run in line.runs) == 80
     lines = reports["map_lines"].collect()
     assert len(lines) == 8 and all(len(r.pixels) == 10 for r in lines)
     assert {r.label for r in reports["per_class"].collect()} == set(CLASSES)
