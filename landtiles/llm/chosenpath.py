@@ -24,9 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from landtiles.llm.common import give_back
 from landtiles.llm.components import components
 from landtiles.llm.spans import Texts, chunks, mixed, paired
 from landtiles.session import cut
@@ -107,6 +108,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                     ],
                     names=["doc_id", "n_shingles", "digest", "signature"],
                 )
+        give_back()
 
     return plain(docs).mapInArrow(run, "doc_id bigint, n_shingles bigint, digest binary, signature binary")
 
@@ -298,6 +300,11 @@ def link_classes(classes: DataFrame, docs: DataFrame, percent: int = PERCENT) ->
 
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``."""
+    return grouped_rows(docs, percent).drop("digest")
+
+
+def grouped_rows(docs: DataFrame, percent: int) -> DataFrame:
+    """The same with ``digest``, which names the row's set."""
     rows = cut(sketches(docs), "sketches")
     classes = rows.where("digest is not null").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.min("signature").alias("signature")
@@ -311,12 +318,47 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = rows.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("head"))
     return found.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), component.isNull()).alias("kept")
+        "doc_id", "n_shingles", component.alias("component_id"),
+        F.coalesce(component == F.col("doc_id"), component.isNull()).alias("kept"), "digest",
     )
 
 
+def with_digests(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the name of each row's set; ``docs`` has columns ``doc_id`` and ``text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = [
+                digest_of(s) if len(s) else None for _, _, texts in chunks(batch.column("text")) for s in shingle_sets(texts)
+            ]
+            yield batch.append_column(name, pa.array(digests, pa.binary()))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(run, f"{schema}, {name} binary")
+
+
 def without_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that name their group, columns unchanged."""
-    dropped = near_groups(docs, percent).where("not kept").select(F.col("doc_id").alias("dropped_id")).distinct()
-    dropped = cut(dropped, "dropped")
-    return docs.join(dropped, docs["doc_id"].cast("bigint") == dropped["dropped_id"], "left_anti")
+    """The rows of ``docs`` that name their group, columns unchanged: one row of each group, and all rows without words.
+
+    Where several rows share an id, or have none, each goes by its own set, and of those with one id and set
+    the row with the smallest text stays.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain_names = docs.toDF(*names).withColumns(
+        {c: F.col(names[docs.columns.index(c)]).cast(t) for c, t in (("doc_id", "bigint"), ("text", "string"))}
+    )
+    found = cut(grouped_rows(docs, percent), "grouped")
+    ids = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_and("kept").alias("kept"), F.bool_or(F.col("digest").isNotNull()).alias("filled"))
+    several = (F.col("n") > 1) | F.col("doc_id").isNull()
+    ids = cut(ids.withColumn("several", several & F.col("filled")).where("several or not kept"), "changed")
+    alone = plain_names.join(ids, plain_names["doc_id"].eqNullSafe(ids["doc_id"]), "left_anti").select(*names)
+    shared = ids.where("several").select("doc_id")
+    if shared.isEmpty():
+        return alone.toDF(*docs.columns)
+    rows = with_digests(plain_names.join(shared, plain_names["doc_id"].eqNullSafe(shared["doc_id"]), "left_semi"), "digest")
+    kept = found.where("kept and digest is not null").select("doc_id", "digest").distinct()
+    same = rows["doc_id"].eqNullSafe(kept["doc_id"]) & (rows["digest"] == kept["digest"])
+    first = F.row_number().over(Window.partitionBy("doc_id", "digest").orderBy("text"))
+    chosen = rows.join(kept, same, "left_semi").withColumn("first", first).where("first = 1").select(*names)
+    wordless = rows.where("digest is null").select(*names)
+    return alone.union(chosen).union(wordless).toDF(*docs.columns)

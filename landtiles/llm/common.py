@@ -1,5 +1,6 @@
 """What several operators on documents share: folds, bounded samples of labelled rows, per-text scoring."""
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,10 +46,19 @@ def natural_weights(marks: np.ndarray, totals: np.ndarray) -> np.ndarray:
     return weight / weight.mean()
 
 
+def give_back() -> None:
+    """Return memory that a task has freed to the system; Python workers live on and serve further stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
 def scored(
-    docs: DataFrame, columns: dict[str, str], score: Callable, pad: int = 1, model=None
+    docs: DataFrame, columns: dict[str, str], score: Callable, pad: int = 1, model=None, carried: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``doc_id`` and new columns that ``score(model, texts)`` gives for each run of whole texts.
+    """``doc_id``, the ``carried`` columns and new ones that ``score(model, texts)`` gives for each run of whole texts.
 
     ``score`` returns one array per new column. One pass over the rows, no shuffle.
     """
@@ -60,12 +70,14 @@ def scored(
             for first, last, texts in chunks(batch.column("text"), pad):
                 made = score(sent.value, texts)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, last - first), *map(pa.array, made)],
-                    names=["doc_id", *names],
+                    [*(batch.column(c).slice(first, last - first) for c in ("doc_id", *carried)), *map(pa.array, made)],
+                    names=["doc_id", *carried, *names],
                 )
+        give_back()
 
-    schema = ", ".join(["doc_id bigint", *(f"{n} {t}" for n, t in columns.items())])
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    schema = ", ".join(["doc_id bigint", *(f"{c} {kinds[c]}" for c in carried), *(f"{n} {t}" for n, t in columns.items())])
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *carried, "text").mapInArrow(run, schema)
 
 
 def kept_where(docs: DataFrame, keep: Callable, pad: int = 1, model=None) -> DataFrame:
@@ -77,6 +89,7 @@ def kept_where(docs: DataFrame, keep: Callable, pad: int = 1, model=None) -> Dat
             flags = [keep(sent.value, texts) for _, _, texts in chunks(batch.column("text"), pad)]
             if flags:
                 yield batch.filter(pa.array(np.concatenate(flags)))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -21,6 +21,8 @@ ORDER = 4  # bytes of context
 SAMPLE = 300  # labelled texts per language that the trees are built from
 UNDETERMINED = "und"
 KEEP_SCORE = 0.3  # the pipeline rejects texts without a letter, and those below this score
+RATE_LIMIT = 3.0  # the pipeline rejects texts that take so many times the bits of a language's usual text
+FREE_BITS = 64  # that a text of any length may take beyond that
 HAS_LETTER = r"\p{L}"
 
 
@@ -107,11 +109,11 @@ def code_lengths(trees: Trees, texts: Texts) -> np.ndarray:
     return np.stack([np.bincount(owner, bits[:, j], len(texts)) for j in range(bits.shape[1])], axis=1)
 
 
-def best_language(trees: Trees, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the language with the shortest code, and its share under equal priors."""
+def best_language(trees: Trees, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the language with the shortest code, its share under equal priors, and its bits."""
     bits = code_lengths(trees, texts)
-    best = bits.argmin(axis=1)
-    return best, 1.0 / np.exp2(-np.minimum(bits - bits.min(axis=1, keepdims=True), 900)).sum(axis=1)
+    best, least = bits.argmin(axis=1), bits.min(axis=1)
+    return best, 1.0 / np.exp2(-np.minimum(bits - least[:, None], 900)).sum(axis=1), least
 
 
 def fit_languages(docs: DataFrame, per_language: int = SAMPLE, order: int = ORDER) -> Trees | None:
@@ -137,7 +139,7 @@ def identify(docs: DataFrame, trees: Trees | None) -> DataFrame:
         return lettered.select("doc_id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
 
     def score(model, texts):
-        best, share = best_language(model, texts)
+        best, share, _ = best_language(model, texts)
         blank = texts.ends == texts.starts
         names = np.array([*model.languages, UNDETERMINED], dtype=object)
         return names[np.where(blank, len(model.languages), best)], np.where(blank, 0.0, share)
@@ -145,9 +147,43 @@ def identify(docs: DataFrame, trees: Trees | None) -> DataFrame:
     return scored(lettered, {"lang_pred": "string", "score": "double"}, score, trees.order, trees)
 
 
-def with_known_language(docs: DataFrame, trees: Trees | None, least: float = KEEP_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose text has a letter and a language of at least the given score."""
+def usual_rates(docs: DataFrame, trees: Trees | None, per_language: int = SAMPLE) -> np.ndarray | None:
+    """Median bits per byte of held-out texts of each language in its own trees, from at most about ``per_language``.
+
+    A language without held-out texts gets the largest median of the others, or 8.
+    """
+    if trees is None:
+        return None
+    kept = docs.where(fold("doc_id", 5) == 0).select("doc_id", "text", "lang", F.octet_length("text").alias("size"))
+    rows = bounded_sample(kept.where(F.col("lang").isin(trees.languages)), "lang", per_language)
+
+    def rate(model, texts):
+        sizes = np.maximum(texts.ends - texts.starts, 1)
+        return [(code_lengths(model, texts) / sizes[:, None]).tolist()]
+
+    rates = scored(rows.where(F.col("text").rlike(HAS_LETTER)), {"rates": "array<double>"}, rate, trees.order, trees, ("lang",))
+    own = F.get("rates", F.array_position(F.array(*map(F.lit, trees.languages)), F.col("lang")).cast("int") - 1)
+    found = dict(rates.select("lang", own.alias("rate")).groupBy("lang").agg(F.percentile_approx("rate", 0.5)).collect())
+    most = max(found.values(), default=8.0)
+    return np.array([found.get(x, most) for x in trees.languages])
+
+
+def with_known_language(
+    docs: DataFrame, trees: Trees | None, rates: np.ndarray | None = None, least: float = KEEP_SCORE
+) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter and a language of at least the given score.
+
+    With ``rates`` the best language must also fit: a text of n bytes may take ``RATE_LIMIT`` times the usual bits
+    of n bytes of that language, and ``FREE_BITS`` more. Texts in a language or script without a tree go by that.
+    """
     lettered = docs.where(F.col("text").rlike(HAS_LETTER))
     if trees is None:
         return lettered.limit(0)
-    return kept_where(lettered, lambda model, texts: best_language(model, texts)[1] >= least, trees.order, trees)
+
+    def keep(model, texts):
+        best, share, bits = best_language(model, texts)
+        if rates is None:
+            return share >= least
+        return (share >= least) & (bits <= RATE_LIMIT * rates[best] * (texts.ends - texts.starts) + FREE_BITS)
+
+    return kept_where(lettered, keep, trees.order, trees)

@@ -9,8 +9,8 @@ with equal pieces. A text of any length is cut, never shortened. Other columns a
 """
 
 import json
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -18,14 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landtiles.llm.common import give_back
 from landtiles.llm.spans import IS_SPACE, Texts, chunks
 
 CAPACITY = 2048
 END_ID = 1
-GROUP_PIECES = 8192  # pieces expected in a group
-RUN_PIECES = 1 << 16  # a group that is larger is packed in runs of this many
+GROUP_PIECES = 8192  # a group has about half as many, and not more but by a very rare chance
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-CACHED_SEGMENTS = 300_000
+CACHE_BYTES = 24 << 20  # of segments and ids that a Python worker keeps
+ENTRY_BYTES = 180  # that an entry takes besides its contents
 _encoders = {}
 
 
@@ -48,7 +49,7 @@ class Encoder:
         import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.path, self.tokenizer, self.load = path, None, Tokenizer.from_file
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         self.special = [t["content"].encode() for t in described["added_tokens"]]
@@ -62,13 +63,30 @@ class Encoder:
         self.fast = tiktoken.Encoding(
             "plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-        self.known: dict[int, list[int]] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.held = 0
 
-    def _encode(self, segment: bytes, plain: bool) -> list[int]:
+    def _encode(self, segment: bytes, plain: bool) -> bytes:
+        """The ids of a segment, 4 bytes each."""
         text = segment.decode("utf-8")
         if plain and not any(s in segment for s in self.special):
-            return self.fast.encode_ordinary(text)
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+            return array("I", self.fast.encode_ordinary(text)).tobytes()
+        if self.tokenizer is None:
+            self.tokenizer = self.load(self.path)
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _ids_of(self, segment: bytes, plain: bool) -> bytes:
+        """The same, from what the worker knows; contents are compared, and what is kept has a bound in bytes."""
+        ids = self.known.get(segment)
+        if ids is None:
+            ids = self._encode(segment, plain)
+            size = ENTRY_BYTES + len(segment) + len(ids)
+            if size <= CACHE_BYTES // 64:
+                if self.held + size > CACHE_BYTES:
+                    self.known, self.held = {}, 0
+                self.known[segment] = ids
+                self.held += size
+        return ids
 
     def ids(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, end ids included, and where each text's ids begin and end."""
@@ -87,18 +105,18 @@ class Encoder:
         last[bounds[1:][full] - 1] = texts.ends[full]
         odd = (data >= 0x80) & ~((data == 0xC3) | ((data < 0xC0) & (before == 0xC3)))
         oddness = np.append(0, np.cumsum(odd))
-        kinds, first, place = np.unique(texts.hashes(start, last), return_index=True, return_inverse=True)
-        keys = kinds.tolist()
-        if len(self.known) > CACHED_SEGMENTS:
-            self.known = {}
         body = data.tobytes()
-        missing = [i for i, key in enumerate(keys) if key not in self.known]
-        for i in missing:
-            at, to = start[first[i]], last[first[i]]
-            self.known[keys[i]] = self._encode(body[at:to], oddness[at] == oddness[to])
-        found = [self.known[k] for k in keys]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        pool = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        _, first, place = np.unique(texts.hashes(start, last), return_index=True, return_inverse=True)
+        sizes = last - start
+        if (sizes != sizes[first][place]).any() or not texts.same(start, last, start[first][place]):
+            # segments with one hash that differ: tell them apart by their bytes
+            numbers: dict[bytes, int] = {}
+            place = np.array([numbers.setdefault(body[a:b], len(numbers)) for a, b in zip(start.tolist(), last.tolist())], np.int64)
+            first = np.unique(place, return_index=True)[1]
+        plain = (oddness[start[first]] == oddness[last[first]]).tolist()
+        found = [self._ids_of(body[a:b], p) for a, b, p in zip(start[first].tolist(), last[first].tolist(), plain)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool = np.frombuffer(b"".join(found), np.uint32)
         pool_start = np.append(0, np.cumsum(sizes))
         # lay the segments out one after another, with a place for the end id behind each text
         size = sizes[place] if len(start) else np.zeros(0, np.int64)
@@ -127,7 +145,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str = TOKENIZE
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             nulls = np.asarray(batch.column("doc_id").is_null())
-            for first, last, texts in chunks(batch.column("text"), most=2 << 20):
+            for first, last, texts in chunks(batch.column("text")):
                 tokens, bounds = encoder(path).ids(texts)
                 count = np.diff(bounds)
                 pieces = -(-count // capacity)
@@ -143,6 +161,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str = TOKENIZE
                     [owned, pa.array(start), pa.array(length), pa.array(count[owner]), body],
                     names=["doc_id", "start", "length", "doc_tokens", "ids"],
                 )
+        give_back()
 
     schema = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
@@ -184,9 +203,9 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, i
 def assign_sequences(pieces: DataFrame, groups: int, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``; any further columns are carried along.
 
-    Groups come from a hash of id, start and input partition, so rows that repeat do not meet in one group.
+    Groups come from a hash of id, start and row number, so rows that repeat do not meet in one group.
     """
-    group = F.pmod(F.xxhash64("doc_id", "start", F.spark_partition_id()), F.lit(groups))
+    group = F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()), F.lit(groups))
     placed = (
         pieces.withColumn("group", group)
         .repartition("group")
@@ -194,42 +213,39 @@ def assign_sequences(pieces: DataFrame, groups: int, capacity: int = CAPACITY) -
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, now, base, held = [], None, 0, 0
+        waiting, now = [], None
 
         def pack():
-            table = pa.Table.from_batches(waiting).combine_chunks()
+            table = pa.Table.from_batches(waiting)
             bins = first_fit_decreasing(table.column("length").to_pylist(), capacity)
             table = table.drop_columns(["group"])
-            table = table.append_column("sequence_id", pa.array([(now << 32) + base + b for b, _ in bins], pa.int64()))
+            table = table.append_column("sequence_id", pa.array([(now << 32) + b for b, _ in bins], pa.int64()))
             table = table.append_column("offset", pa.array([o for _, o in bins], pa.int64()))
-            return max(b for b, _ in bins) + 1, table.to_batches()
+            return table.to_batches()
 
         for batch in batches:
             group = batch.column("group").to_numpy()
             edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
             for at, to in zip(edges[:-1], edges[1:]):
-                while at < to:
-                    if waiting and (group[at] != now or held >= RUN_PIECES):
-                        used, made = pack()
-                        yield from made
-                        base = base + used if group[at] == now else 0
-                        waiting, held = [], 0
-                    now = int(group[at])
-                    upto = min(to, at + RUN_PIECES - held)
-                    waiting.append(batch.slice(at, upto - at))
-                    held += upto - at
-                    at = upto
+                if waiting and group[at] != now:
+                    yield from pack()
+                    waiting = []
+                now = int(group[at])
+                waiting.append(batch.slice(at, to - at))
         if waiting:
-            yield from pack()[1]
+            yield from pack()
+        give_back()
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
     return placed.mapInArrow(run, schema + ", sequence_id bigint, offset bigint")
 
 
-def group_count(docs: DataFrame) -> int:
-    return max(1, -(-docs.count() // (GROUP_PIECES // 2)))
+def group_count(docs: DataFrame, capacity: int = CAPACITY) -> int:
+    """So many groups that one has ``GROUP_PIECES / 2`` pieces on average, if every second byte were an id."""
+    pieces = F.coalesce(F.octet_length("text"), F.lit(0)) / (2.0 * capacity) + 1
+    return max(1, -(-int(docs.agg(F.coalesce(F.sum(pieces), F.lit(0.0))).first()[0]) // (GROUP_PIECES // 2)))
 
 
 def packed_ids(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Pieces with their ids, sequence and offset: all that is needed to write the sequences."""
-    return assign_sequences(token_pieces(docs, capacity), group_count(docs), capacity)
+    return assign_sequences(token_pieces(docs, capacity), group_count(docs, capacity), capacity)

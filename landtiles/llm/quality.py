@@ -9,7 +9,7 @@ Null and empty texts have all features at zero and are scored like any text. Rep
 Without labels of both kinds every score is 1.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -21,6 +21,7 @@ from landtiles.session import cut
 
 SAMPLE = 4000  # labelled texts of each mark whose features are fitted
 PAIRS_PER_TEXT = 4
+RANK_ACCURACY = 100_000  # the cut's rank is off by one row in so many at most
 KEEP_SCORE = 0.3
 _UPPER, _DIGIT, _SYMBOL, _STOP, _LOUD, _OTHER_MARK, _HIGH, _LETTER, _GAP = range(9)
 
@@ -98,9 +99,11 @@ class Ranker:
     cut: float
     spread: float
 
+    def raw(self, rows: np.ndarray) -> np.ndarray:
+        return ((rows - self.center) / self.scale) @ self.weights
+
     def score(self, rows: np.ndarray) -> np.ndarray:
-        raw = ((rows - self.center) / self.scale) @ self.weights
-        return sigmoid((raw - self.cut) / self.spread + np.log(KEEP_SCORE / (1 - KEEP_SCORE)))
+        return sigmoid((self.raw(rows) - self.cut) / self.spread + np.log(KEEP_SCORE / (1 - KEEP_SCORE)))
 
 
 def fit_ranker(rows: np.ndarray, marks: np.ndarray, share: float, ridge: float = 1e-3, seed: int = 7) -> Ranker | None:
@@ -134,37 +137,45 @@ def fit_ranker(rows: np.ndarray, marks: np.ndarray, share: float, ridge: float =
 
 
 def labelled(docs: DataFrame, labels: DataFrame, mark: str) -> DataFrame:
-    """``doc_id, text, mark`` of the rows one may learn from."""
-    marks = labels.where((fold("doc_id", 5) != 0) & F.col(mark).isin(0, 1)).select("doc_id", F.col(mark).alias("mark"))
-    return docs.select("doc_id", "text").join(marks.dropDuplicates(["doc_id"]), "doc_id")
+    """``doc_id, text, mark`` of the rows one may learn from; of several marks of an id the smallest holds."""
+    marks = labels.where((fold("doc_id", 5) != 0) & F.col(mark).isin(0, 1)).groupBy("doc_id").agg(F.min(mark).alias("mark"))
+    return docs.select("doc_id", "text").join(marks, "doc_id")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, mark: str, most: int) -> DataFrame:
-    """``doc_id, text, mark, total`` of a bounded sample of ``labelled``; texts that are not drawn are not shuffled."""
+    """``doc_id, text, mark, total`` of a bounded sample of ``labelled``; texts that are not drawn are not shuffled.
+
+    An id gives one row, however often it is repeated: its smallest text.
+    """
     sizes = docs.select("doc_id", F.octet_length("text").alias("text"))
-    rows = cut(labelled(sizes, labels, mark).withColumnRenamed("text", "size"), "labelled")
-    drawn = cut(bounded_sample(rows, "mark", most).select("doc_id", "mark", "total").distinct(), "drawn")
-    return docs.select("doc_id", "text").join(drawn, "doc_id")
+    rows = labelled(sizes, labels, mark).groupBy("doc_id", "mark").agg(F.min("text").alias("size"))
+    drawn = cut(bounded_sample(cut(rows, "labelled"), "mark", most).select("doc_id", "mark", "total"), "drawn")
+    return docs.select("doc_id", "text").join(drawn, "doc_id").groupBy("doc_id", "mark", "total").agg(F.min("text").alias("text"))
 
 
-def feature_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the array of features of each row."""
-    return scored(docs, {"features": "array<double>"}, lambda _, texts: [list(features(texts))])
+def feature_rows(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the ``carried`` columns and the array of features of each row."""
+    return scored(docs, {"features": "array<double>"}, lambda _, texts: [list(features(texts))], carried=carried)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Ranker | None:
-    """A ranker from at most about ``most`` texts of each mark, outside the held-out fold."""
-    marks = labels.where((fold("doc_id", 5) != 0) & F.col("quality").isin(0, 1))
-    counts = dict(marks.groupBy("quality").count().collect())
-    rows = labelled_sample(docs, labels, "quality", most)
-    found = sorted(feature_rows(rows).join(rows.select("doc_id", "mark"), "doc_id").select("doc_id", "mark", "features").collect())
-    if not found:
+    """A ranker from at most about ``most`` texts of each mark, outside the held-out fold.
+
+    The cut is the quantile of the scores of all labelled rows outside that fold at the share of those marked 0.
+    """
+    sample = feature_rows(labelled_sample(docs, labels, "quality", most), ("mark",))
+    found = sorted(sample.select("doc_id", "mark", "features").collect())
+    rows = labelled(docs, labels, "quality")
+    counts = dict(rows.groupBy("mark").count().collect()) if found else {}
+    share = counts.get(0, 0) / max(sum(counts.values()), 1)
+    model = found and fit_ranker(np.array([r.features for r in found]), np.array([r.mark for r in found]), share)
+    if not model:
         return None
-    return fit_ranker(
-        np.array([r.features for r in found]),
-        np.array([r.mark for r in found]),
-        counts.get(0, 0) / max(sum(counts.values()), 1),
-    )
+    raw = cut(scored(rows, {"raw": "double"}, lambda m, texts: [m.raw(features(texts))], model=model).select("raw"), "scores")
+    # between the last row inside the quantile and the next one
+    inside = raw.agg(F.percentile_approx("raw", share, RANK_ACCURACY)).first()[0]
+    after = raw.where(F.col("raw") > inside).agg(F.min("raw")).first()[0]
+    return replace(model, cut=float(inside if after is None else (inside + after) / 2))
 
 
 def _scores(model: Ranker | None, texts: Texts) -> np.ndarray:

@@ -22,11 +22,14 @@ _powers = {_BASE: np.ones(1, np.uint64), _BASE_INVERSE: np.ones(1, np.uint64)}
 
 
 def _power(base: int, count: int) -> np.ndarray:
-    """The first powers of a base, kept for the next chunk."""
+    """The first powers of a base; as many as a chunk needs are kept for the next one."""
     if len(_powers[base]) < count:
         steps = np.full(max(count, 2 * CHUNK_BYTES), base, np.uint64)
         steps[0] = 1
-        _powers[base] = np.multiply.accumulate(steps)
+        made = np.multiply.accumulate(steps)
+        if count > 4 * CHUNK_BYTES:
+            return made[:count]
+        _powers[base] = made
     return _powers[base][:count]
 
 
@@ -94,6 +97,18 @@ class Texts:
         body = (self._sums[ends] - self._sums[starts]) * inverse[starts]
         return mixed(body ^ ((ends - starts).astype(np.uint64) << np.uint64(40)))
 
+    def same(self, starts: np.ndarray, ends: np.ndarray, others: np.ndarray) -> bool:
+        """Whether each span has the bytes of another one of its length, which starts at ``others``."""
+        sizes = ends - starts
+        step = max(1, CHUNK_BYTES // 2)
+        total = np.append(0, np.cumsum(sizes))
+        cuts = np.unique(np.append(np.searchsorted(total, np.arange(0, total[-1], step)), len(sizes)))
+        for at, to in zip(cuts[:-1], cuts[1:]):
+            within = np.arange(total[at], total[to]) - np.repeat(total[at:to], sizes[at:to])
+            if (self.data[np.repeat(starts[at:to], sizes[at:to]) + within] != self.data[np.repeat(others[at:to], sizes[at:to]) + within]).any():
+                return False
+        return True
+
     def gram_hashes(self, size: int) -> np.ndarray:
         """The hash of the ``size`` bytes that end at each byte of the buffer."""
         ends = np.arange(1, len(self.data) + 1)

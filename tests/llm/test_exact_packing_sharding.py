@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from landtiles.llm import grace, packing, sharding
+from landtiles.llm.spans import Texts
 from llm.conftest import prose, table
 
 
@@ -75,8 +76,6 @@ def test_ids_are_those_of_the_tokenizer(odd_rows):
     draw = random.Random(4)
     alphabet = ["a", "B", " ", "  ", "\n", "\t", "é", "ß", " ", " ", "漢", "'s", "12", "!", "🙂", "\x1f", "\x85", "<|endoftext|>"]
     texts = [t or "" for _, t in odd_rows] + ["".join(draw.choices(alphabet, k=draw.randint(0, 30))) for _ in range(800)]
-    from landtiles.llm.spans import Texts
-
     ids, bounds = packing.encoder(packing.TOKENIZER).ids(Texts([t.encode() for t in texts]))
     for i, text in enumerate(texts):
         expected = [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID]
@@ -94,8 +93,7 @@ def test_first_fit_decreasing_by_plain_search():
     assert packing.first_fit_decreasing(lengths, 50) == expected
 
 
-def test_every_id_lies_in_one_piece(odd, odd_rows, monkeypatch):
-    monkeypatch.setattr(packing, "RUN_PIECES", 1000)
+def test_every_id_lies_in_one_piece(odd, odd_rows):
     found = packing.assign_sequences(packing.token_pieces(odd, 64), 2, 64).collect()
     tokenizer = Tokenizer.from_file(packing.TOKENIZER)
     whole = defaultdict(list)
@@ -172,3 +170,25 @@ def test_digests_of_the_query(spark, tmp_path, odd_rows):
     found = QUERIES["op3_sharding"](spark, str(tmp_path)).collect()
     expected = sorted((i or -1, zlib.crc32((t or "").encode())) for i, t in odd_rows)
     assert sorted((r.doc_id or -1, r.text_crc32) for r in found) == expected
+
+
+def test_segments_with_one_hash_keep_their_own_ids():
+    """Thue-Morse strings, whose polynomial hashes modulo a power of two agree whatever the base is."""
+    one, two = "a", "b"
+    for _ in range(10):
+        one, two = one + two, two + one
+    texts = Texts([x.encode() for x in (one, two, two, one)])
+    assert len(set(texts.hashes(texts.starts, texts.ends).tolist())) == 1 and one != two
+    tokenizer = Tokenizer.from_file(packing.TOKENIZER)
+    ids, bounds = packing.encoder(packing.TOKENIZER).ids(texts)
+    for i, text in enumerate((one, two, two, one)):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID]
+
+
+def test_what_an_encoder_keeps_has_a_bound(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_BYTES", 1 << 16)
+    encoder = packing.Encoder(packing.TOKENIZER)
+    for seed in range(5):
+        encoder.ids(Texts([prose(seed, 2000).encode()]))
+        assert encoder.held <= 1 << 16
+        assert encoder.held == sum(packing.ENTRY_BYTES + len(k) + len(v) for k, v in encoder.known.items())
