@@ -25,7 +25,8 @@ CAPACITY = 2048
 END_ID = 1
 GROUP_PIECES = 8192  # a group has about half as many, and not more but by a very rare chance
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-CACHE_BYTES = 24 << 20  # of segments and ids that a Python worker keeps
+CACHE_BYTES = 48 << 20  # of segments and ids that a Python worker keeps from chunk to chunk
+LONG_SEGMENT = 256  # bytes from which a segment is not kept
 ENTRY_BYTES = 180  # that an entry takes besides its contents
 _encoders = {}
 
@@ -53,6 +54,8 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         self.special = [t["content"].encode() for t in described["added_tokens"]]
+        leads = {t[:1] for t in self.special}
+        self.lead = leads.pop() if len(leads) == 1 else b""  # without it a segment has no special name
         letters = _byte_letters()
         special = {t["content"] for t in described["added_tokens"]}
         ranks = {
@@ -75,18 +78,23 @@ class Encoder:
             self.tokenizer = self.load(self.path)
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _ids_of(self, segment: bytes, plain: bool) -> bytes:
-        """The same, from what the worker knows; contents are compared, and what is kept has a bound in bytes."""
-        ids = self.known.get(segment)
-        if ids is None:
-            ids = self._encode(segment, plain)
-            size = ENTRY_BYTES + len(segment) + len(ids)
-            if size <= CACHE_BYTES // 64:
-                if self.held + size > CACHE_BYTES:
-                    self.known, self.held = {}, 0
-                self.known[segment] = ids
-                self.held += size
-        return ids
+    def _ids_of(self, segments: list[bytes], plain: list[bool]) -> list[bytes]:
+        """The ids of each segment, from what the worker knows; it keeps no more than its bound from call to call."""
+        known, encode, found = self.known, self.fast.encode_ordinary, []
+        for segment, simple in zip(segments, plain):
+            ids = known.get(segment)
+            if ids is None:
+                if simple and self.lead not in segment:
+                    ids = array("I", encode(segment.decode())).tobytes()
+                else:
+                    ids = self._encode(segment, simple)
+                if len(segment) < LONG_SEGMENT:
+                    known[segment] = ids
+                    self.held += ENTRY_BYTES + len(segment) + len(ids)
+            found.append(ids)
+        if self.held > CACHE_BYTES:
+            self.known, self.held = {}, 0
+        return found
 
     def ids(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, end ids included, and where each text's ids begin and end."""
@@ -114,7 +122,7 @@ class Encoder:
             place = np.array([numbers.setdefault(body[a:b], len(numbers)) for a, b in zip(start.tolist(), last.tolist())], np.int64)
             first = np.unique(place, return_index=True)[1]
         plain = (oddness[start[first]] == oddness[last[first]]).tolist()
-        found = [self._ids_of(body[a:b], p) for a, b, p in zip(start[first].tolist(), last[first].tolist(), plain)]
+        found = self._ids_of([body[a:b] for a, b in zip(start[first].tolist(), last[first].tolist())], plain)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         pool = np.frombuffer(b"".join(found), np.uint32)
         pool_start = np.append(0, np.cumsum(sizes))

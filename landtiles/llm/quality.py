@@ -163,15 +163,17 @@ def fit_quality(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Ranke
 
     The cut is the quantile of the scores of all labelled rows outside that fold at the share of those marked 0.
     """
+    ids = docs.select("doc_id", F.lit(None).alias("text"))
     sample = feature_rows(labelled_sample(docs, labels, "quality", most), ("mark",))
     found = sorted(sample.select("doc_id", "mark", "features").collect())
-    rows = labelled(docs, labels, "quality")
-    counts = dict(rows.groupBy("mark").count().collect()) if found else {}
+    counts = dict(labelled(ids, labels, "quality").groupBy("mark").count().collect()) if found else {}
     share = counts.get(0, 0) / max(sum(counts.values()), 1)
     model = found and fit_ranker(np.array([r.features for r in found]), np.array([r.mark for r in found]), share)
     if not model:
         return None
-    raw = cut(scored(rows, {"raw": "double"}, lambda m, texts: [m.raw(features(texts))], model=model).select("raw"), "scores")
+    # every text is scored where it lies; only ids and scores meet the labels
+    every = scored(docs, {"text": "double"}, lambda m, texts: [m.raw(features(texts))], model=model)
+    raw = cut(labelled(every, labels, "quality").select(F.col("text").alias("raw")), "scores")
     # between the last row inside the quantile and the next one
     inside = raw.agg(F.percentile_approx("raw", share, RANK_ACCURACY)).first()[0]
     after = raw.where(F.col("raw") > inside).agg(F.min("raw")).first()[0]

@@ -18,6 +18,8 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_LONG = 256  # bytes of a span that is compared by itself
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # of a little-endian number
 _powers = {_BASE: np.ones(1, np.uint64), _BASE_INVERSE: np.ones(1, np.uint64)}
 
 
@@ -99,13 +101,19 @@ class Texts:
 
     def same(self, starts: np.ndarray, ends: np.ndarray, others: np.ndarray) -> bool:
         """Whether each span has the bytes of another one of its length, which starts at ``others``."""
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        eight = np.ndarray((len(self.data),), "<u8", padded, strides=(1,))  # the 8 bytes from each place on
         sizes = ends - starts
-        step = max(1, CHUNK_BYTES // 2)
-        total = np.append(0, np.cumsum(sizes))
-        cuts = np.unique(np.append(np.searchsorted(total, np.arange(0, total[-1], step)), len(sizes)))
-        for at, to in zip(cuts[:-1], cuts[1:]):
-            within = np.arange(total[at], total[to]) - np.repeat(total[at:to], sizes[at:to])
-            if (self.data[np.repeat(starts[at:to], sizes[at:to]) + within] != self.data[np.repeat(others[at:to], sizes[at:to]) + within]).any():
+        for i in np.flatnonzero(sizes > _LONG).tolist():
+            if self.data[starts[i] : ends[i]].tobytes() != self.data[others[i] : others[i] + sizes[i]].tobytes():
+                return False
+        left = np.flatnonzero(sizes <= _LONG)
+        for step in range(0, _LONG, 8):
+            left = left[sizes[left] > step]
+            if not len(left):
+                break
+            differ = eight[starts[left] + step] ^ eight[others[left] + step]
+            if (differ & _FIRST_BYTES[np.minimum(sizes[left] - step, 8)]).any():
                 return False
         return True
 
