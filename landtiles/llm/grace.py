@@ -188,7 +188,7 @@ def exact_groups(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     groups = tabled(folded_batches(pairs, ["text"], False), leaf_of(light, table_bytes), [])
     # of batches that share the largest id, the one with the smallest tag holds the row that stays
     staying = light.groupBy("sha").agg(
-        F.min(F.struct((-F.coalesce("keep_id", F.lit(-(1 << 62)))).alias("order"), "tag")).alias("first")
+        F.min(F.struct(F.col("keep_id").isNull().alias("none"), F.bitwise_not("keep_id").alias("order"), "tag")).alias("first")
     )
     known = groups.join(staying, "sha").select("sha", F.col("keep_id").alias("best"), "group_size", F.col("first.tag").alias("first_tag"))
     rows = light.join(known, "sha").select(

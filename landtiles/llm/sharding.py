@@ -7,7 +7,8 @@ ranges of bounded row count inside the shards, and numbered.
 
 Null and empty texts have size 1 (their end). Repeated rows have order keys of their own, so a boundary may lie
 between them. An empty table gives an empty result. Other columns are carried by ``shards`` unless their
-names are those of the result, which then win.
+names are those of the result, which then win. Row numbers follow the order of the scan, so hand in a stored table,
+whose rows come in the same order when a task runs again.
 """
 
 from dataclasses import dataclass
@@ -157,6 +158,12 @@ def numbered(rows: DataFrame, splitters: list[Splitter], range_rows: int = RANGE
 
 
 def shards(docs: DataFrame, count: int = SHARDS, tolerance: float = TOLERANCE, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """``docs`` with ``size, shard, slot`` and the order key ``high, low``, exchanged into its shards."""
-    rows = keyed(docs.drop("size", "high", "low", "shard", "slot"))
-    return numbered(rows, find_splitters(cut(rows.select("size", "high", "low"), "order"), count, tolerance), range_rows)
+    """``docs`` with ``size, high, low, shard, slot`` (order key and place), exchanged into its shards."""
+    # the columns travel by number, so their names cannot clash with those used on the way
+    names = [f"in_{i}" for i in range(len(docs.columns))]
+    known = {c: F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text")}
+    rows = keyed(docs.toDF(*names).withColumns(known)).drop(*known)
+    placed = numbered(rows, find_splitters(cut(rows.select("size", "high", "low"), "order"), count, tolerance), range_rows)
+    made = ["size", "high", "low", "shard", "slot"]
+    carried = [F.col(n).alias(c) for n, c in zip(names, docs.columns) if c not in made]
+    return placed.select(*carried, *made)

@@ -56,6 +56,13 @@ def test_many_copies_over_many_partitions(spark):
     assert sizes == expected
 
 
+def test_smallest_ids_next_to_none(spark):
+    least = -(1 << 63)
+    rows = [(least, "a"), (None, "a"), (least, "a"), (least + 1, "b"), (least, "b"), (None, "b"), (None, "c")]
+    found = grace.exact_groups(table(spark, rows).repartition(7)).where("kept").collect()
+    assert sorted((r.keep_id or 0, r.doc_id or 0, r.group_size) for r in found) == [(least, least, 3), (least + 1, least + 1, 3), (0, 0, 1)]
+
+
 def test_a_table_compares_contents_of_one_hash():
     held = grace.ContentTable()
     found = [held.entry(5, b"%d" % i) for i in range(200)]
@@ -159,6 +166,15 @@ def test_shards_of_repeated_rows(spark):
     assert max(total) - min(total) <= 12 * 6
 
 
+def test_shards_carry_columns_of_any_name(spark):
+    inner = ["part", "cell", "place", "alone", "parts", "first", "in_0", "low", "shard"]
+    docs = spark.createDataFrame([(i, f"text {i % 9}", *[f"v{i}"] * 9) for i in range(40)], ["doc_id", "text", *inner])
+    found = sharding.shards(docs, 2, range_rows=5)
+    assert found.columns == ["doc_id", "text", *inner[:7], "size", "high", "low", "shard", "slot"]
+    assert all(r[c] == f"v{r.doc_id}" for r in found.collect() for c in inner[:7])
+    assert sorted(r.doc_id for r in found.collect()) == list(range(40))
+
+
 def test_shards_of_no_rows(empty):
     assert sharding.shards(empty).collect() == []
 
