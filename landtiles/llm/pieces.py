@@ -6,13 +6,14 @@ time from the end, with random numbers that are a hash of row key, place and ste
 in every run and layout.
 
 No piece has a blank after another character, so the lattice falls apart before each blank that follows a
-non-blank, and at line feeds. Such segments repeat; their lattices are built once per run of texts.
+non-blank, and at line feeds. Such segments repeat; their lattices are built once per run of texts. Segments are told
+apart, and pieces found, by hashes whose hits are compared by content, so strings made to collide change nothing.
 The blank sign of the pieces stands for the plain blank only; the sign itself, if a text has it, is written in
 byte pieces. Decoding joins the bytes of the pieces and gives the text back unchanged.
 
 A merge model states ranks, not probabilities, so a piece of rank r is taken to have the Zipf weight 1 / (r + 10).
-Null and empty texts have no pieces and decode to the empty text. Rows without a key share the key of an empty
-name. Repeated rows are cut alike. Other columns are not read.
+Null and empty texts have no pieces and decode to the empty text. Rows without an id share the key of id -1.
+Repeated rows are cut alike. Other columns are not read.
 """
 
 from collections.abc import Iterator
@@ -44,9 +45,38 @@ class Pieces:
     byte_ids: np.ndarray  # piece of each of the 256 bytes
     by_length: dict[int, tuple[Lookup, np.ndarray]]
     data: np.ndarray
+    eights: np.ndarray  # the 8 bytes from each place of the data on
     bounds: np.ndarray
 
 
+def eights(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on as one number, zeros after the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def same_bytes(one: np.ndarray, at: np.ndarray, other: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
+    """Whether ``length`` bytes from each place ``at`` equal those from ``start``; both as ``eights``."""
+    equal = np.ones(len(at), bool)
+    for step in range(0, length, 8):
+        differ = one[at + step] ^ other[start + step]
+        if length - step < 8:
+            differ &= np.uint64((1 << 8 * (length - step)) - 1)
+        equal &= differ == 0
+    return equal
+
+
+def kinds_of(texts: Texts, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One span of each content, and for each span the number of its content."""
+    _, first, kind = np.unique(texts.hashes(start, end), return_index=True, return_inverse=True)
+    size = end - start
+    if (size == size[first][kind]).all() and texts.same(start, end, start[first][kind]):
+        return first, kind
+    body, numbers = texts.data.tobytes(), {}
+    kind = np.array([numbers.setdefault(body[a:b], len(numbers)) for a, b in zip(start.tolist(), end.tolist())], np.int64)
+    return np.unique(kind, return_index=True)[1], kind
+
+
 def make_pieces(strings: list[bytes], log_weight: np.ndarray, byte_ids: np.ndarray) -> Pieces:
     """Tables for pieces; a string that is empty matches nothing, byte pieces match by ``byte_ids`` alone."""
     is_byte = np.zeros(len(strings), bool)
@@ -58,7 +88,8 @@ def make_pieces(strings: list[bytes], log_weight: np.ndarray, byte_ids: np.ndarr
             texts = Texts([strings[i] for i in ids])
             by_length[length] = (Lookup(texts.hashes(texts.starts, texts.ends)), ids)
     data = np.frombuffer(b"".join(strings), np.uint8)
-    return Pieces(strings, log_weight, byte_ids, by_length, data, np.append(0, np.cumsum([len(s) for s in strings])))
+    bounds = np.append(0, np.cumsum([len(s) for s in strings]))
+    return Pieces(strings, log_weight, byte_ids, by_length, data, eights(data), bounds)
 
 
 def pieces_of(path: str) -> Pieces:
@@ -101,18 +132,21 @@ def build_lattice(pieces: Pieces, texts: Texts, start: np.ndarray, end: np.ndarr
     place = np.repeat(start - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
     limit, origin = np.repeat(end, size), np.repeat(start, size)
     sources, targets, found, origins = [], [], [], []
+    here, there = eights(texts.data), pieces.eights
     covered = np.zeros(len(texts.data), bool)
     for length in sorted(pieces.by_length, reverse=True):
         table, ids = pieces.by_length[length]
-        fits = place + length <= limit
-        at = place[fits]
-        hit = table.find(texts.hashes(at, at + length))
-        known = hit >= 0
-        at = at[known]
+        fits = np.flatnonzero(place + length <= limit)
+        hit = table.find(texts.hashes(place[fits], place[fits] + length))
+        known = np.flatnonzero(hit >= 0)
+        at, piece = place[fits[known]], ids[hit[known]]
+        equal = same_bytes(here, at, there, pieces.bounds[piece], length)
+        if not equal.all():  # a hash that a piece has, too
+            known, at, piece = known[equal], at[equal], piece[equal]
         sources.append(at)
         targets.append(at + length)
-        found.append(ids[hit[known]])
-        origins.append(origin[fits][known])
+        found.append(piece)
+        origins.append(origin[fits[known]])
         for back in range(length if length <= 4 else 0):
             covered[at[CHARACTER_SIZE[texts.data[at]] == length] + back] = True
     bare = ~covered[place]
@@ -171,7 +205,7 @@ def sampled_ids(pieces: Pieces, texts: Texts, keys: np.ndarray, seed: int = SEED
     start, end, bounds = segments(texts)
     if not len(start):
         return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-    _, first, kind = np.unique(texts.hashes(start, end), return_index=True, return_inverse=True)
+    first, kind = kinds_of(texts, start, end)
     lattice = build_lattice(pieces, texts, start[first], end[first])
     owner = owners(bounds)
     chance = paired(keys[owner], (np.arange(len(start)) - bounds[owner]).astype(np.uint64), 500 + seed)

@@ -207,6 +207,20 @@ def test_segmentations_are_lossless_and_repeatable(odd, odd_rows):
     assert keyed(rows) == keyed(again)
 
 
+def test_strings_of_one_hash_stay_apart():
+    """Thue-Morse strings, whose polynomial hashes modulo a power of two agree whatever the base is."""
+    one, two = b"a", b"b"
+    for _ in range(10):
+        one, two = one + two, two + one
+    texts = Texts([one, two, two, one])
+    assert len(set(texts.hashes(texts.starts, texts.ends).tolist())) == 1 and one != two
+    own = pieces.make_pieces([b"a", b"b", one, *(bytes([i]) for i in range(256))], np.full(259, -5.0), np.arange(3, 259))
+    for model in (pieces.pieces_of(pieces.MODEL), own):  # in the second model one of the strings is a piece
+        ids, bounds = pieces.sampled_ids(model, texts, mixed(np.arange(4, dtype=np.uint64)))
+        blobs = [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+        assert pieces.spelled(model, blobs).to_pylist() == [t.decode() for t in (one, two, two, one)]
+
+
 def test_samples_follow_the_path_probabilities():
     strings = [b"a", b"b", b"c", b"ab", b"bc", b"abc", b" a", b" ab", b" "] + [bytes([i]) for i in range(256)]
     weight = np.append(np.log([0.2, 0.1, 0.1, 0.3, 0.2, 0.1, 0.2, 0.1, 0.05]), np.full(256, -9.0))
