@@ -38,12 +38,17 @@ _models = {}
 
 @dataclass
 class Pieces:
-    """Byte strings of all pieces, the log weight of each, and tables by length to find them."""
+    """Byte strings of all pieces, the log weight of each, and tables by length to find them.
+
+    A piece of up to 8 bytes is found by its bytes as one number. Longer ones are looked for only where the first 8
+    bytes of one stand.
+    """
 
     strings: list[bytes]
     log_weight: np.ndarray
     byte_ids: np.ndarray  # piece of each of the 256 bytes
     by_length: dict[int, tuple[Lookup, np.ndarray]]
+    leads: Lookup  # the first 8 bytes of the pieces that are longer
     data: np.ndarray
     eights: np.ndarray  # the 8 bytes from each place of the data on
     bounds: np.ndarray
@@ -55,14 +60,24 @@ def eights(data: np.ndarray) -> np.ndarray:
     return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
 
 
+def leading(numbers: np.ndarray, length: int) -> np.ndarray:
+    """Of the 8 bytes of each number, the first ``length``."""
+    return numbers & np.uint64((1 << 8 * length) - 1) if length < 8 else numbers
+
+
+def folded(at: np.ndarray, numbers: np.ndarray, length: int) -> np.ndarray:
+    """A key of the ``length`` bytes, over 8 of them, from each place of ``eights``; others may have it, too."""
+    key = numbers[at]
+    for step in range(8, length, 8):
+        key = paired(key, leading(numbers[at + step], length - step), 4)
+    return key
+
+
 def same_bytes(one: np.ndarray, at: np.ndarray, other: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
     """Whether ``length`` bytes from each place ``at`` equal those from ``start``; both as ``eights``."""
     equal = np.ones(len(at), bool)
     for step in range(0, length, 8):
-        differ = one[at + step] ^ other[start + step]
-        if length - step < 8:
-            differ &= np.uint64((1 << 8 * (length - step)) - 1)
-        equal &= differ == 0
+        equal &= leading(one[at + step] ^ other[start + step], length - step) == 0
     return equal
 
 
@@ -81,15 +96,19 @@ def make_pieces(strings: list[bytes], log_weight: np.ndarray, byte_ids: np.ndarr
     """Tables for pieces; a string that is empty matches nothing, byte pieces match by ``byte_ids`` alone."""
     is_byte = np.zeros(len(strings), bool)
     is_byte[byte_ids] = True
-    by_length = {}
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    bounds = np.append(0, np.cumsum([len(s) for s in strings]))
+    numbers, by_length, leads = eights(data), {}, []
     for length in sorted({len(s) for s in strings} - {0}):
         ids = np.array([i for i, s in enumerate(strings) if len(s) == length and not is_byte[i]], np.int64)
         if len(ids):
-            texts = Texts([strings[i] for i in ids])
-            by_length[length] = (Lookup(texts.hashes(texts.starts, texts.ends)), ids)
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    bounds = np.append(0, np.cumsum([len(s) for s in strings]))
-    return Pieces(strings, log_weight, byte_ids, by_length, data, eights(data), bounds)
+            at = bounds[ids]
+            key = folded(at, numbers, length) if length > 8 else leading(numbers[at], length)
+            by_length[length] = (Lookup(key), ids)
+            if length > 8:
+                leads.append(numbers[at])
+    leads = Lookup(np.unique(np.concatenate([np.zeros(0, np.uint64), *leads])))
+    return Pieces(strings, log_weight, byte_ids, by_length, leads, data, numbers, bounds)
 
 
 def pieces_of(path: str) -> Pieces:
@@ -128,37 +147,47 @@ class Lattice:
 
 def build_lattice(pieces: Pieces, texts: Texts, start: np.ndarray, end: np.ndarray) -> Lattice:
     """The lattice of the segments ``start`` to ``end`` with forward weights."""
-    size = end - start
-    place = np.repeat(start - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
-    limit, origin = np.repeat(end, size), np.repeat(start, size)
-    sources, targets, found, origins = [], [], [], []
-    here, there = eights(texts.data), pieces.eights
-    covered = np.zeros(len(texts.data), bool)
-    for length in sorted(pieces.by_length, reverse=True):
-        table, ids = pieces.by_length[length]
-        fits = np.flatnonzero(place + length <= limit)
-        hit = table.find(texts.hashes(place[fits], place[fits] + length))
+    size, total = end - start, len(texts.data) + 1
+    place = (np.repeat(start - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())).astype(np.int32)
+    origin = np.zeros(total, np.int32)
+    origin[place] = np.repeat(start, size)
+    here = eights(texts.data)
+    at, room, number = place, np.repeat(end, size).astype(np.int32) - place, here[place]
+    covered = np.zeros(total, bool)
+    edges = []  # source, piece, length; an end has at most one edge of a length
+    for length, (table, ids) in sorted(pieces.by_length.items()):
+        fits = room >= length
+        if length > 8 and len(number):
+            fits &= pieces.leads.find(number) >= 0
+        if not fits.all():
+            at, room, number = at[fits], room[fits], number[fits]
+        hit = table.find(folded(at, here, length) if length > 8 else leading(number, length))
         known = np.flatnonzero(hit >= 0)
-        at, piece = place[fits[known]], ids[hit[known]]
-        equal = same_bytes(here, at, there, pieces.bounds[piece], length)
-        if not equal.all():  # a hash that a piece has, too
-            known, at, piece = known[equal], at[equal], piece[equal]
-        sources.append(at)
-        targets.append(at + length)
-        found.append(piece)
-        origins.append(origin[fits[known]])
-        for back in range(length if length <= 4 else 0):
-            covered[at[CHARACTER_SIZE[texts.data[at]] == length] + back] = True
-    bare = ~covered[place]
-    sources.append(place[bare])
-    targets.append(place[bare] + 1)
-    found.append(pieces.byte_ids[texts.data[place[bare]]])
-    origins.append(origin[bare])
-    source, target, piece, depth = (np.concatenate(x).astype(np.int32) for x in (sources, targets, found, origins))
-    depth = target - depth
-    del sources, targets, found, origins
-    order = np.argsort(target, kind="stable")  # a merge of as many runs as there are lengths
-    source, target, piece, depth = source[order], target[order], piece[order], depth[order]
+        source, piece = at[known], ids[hit[known]]
+        if length > 8:
+            equal = same_bytes(here, source, pieces.eights, pieces.bounds[piece], length)
+            source, piece = source[equal], piece[equal]
+        edges.append((source, piece.astype(np.int32), length))
+        if length <= 4:
+            whole = source[CHARACTER_SIZE[texts.data[source]] == length]
+            for back in range(length):
+                covered[whole + back] = True
+    bare = place[~covered[place]]
+    edges.insert(0, (bare, pieces.byte_ids[texts.data[bare]].astype(np.int32), 1))
+    # edges go by their end, long ones first
+    count = np.zeros(total, np.int32)
+    for from_, _, length in edges:
+        count[from_ + length] += 1
+    free = np.cumsum(count, dtype=np.int32) - count
+    first_edge = np.where(count > 0, free, -1)
+    source, piece, depth = np.empty((3, count.sum()), np.int32)
+    for from_, kind, length in reversed(edges):
+        to = from_ + length
+        slot = free[to]
+        free[to] += 1
+        source[slot], piece[slot], depth[slot] = from_, kind, to - origin[from_]
+    target = np.repeat(np.arange(total, dtype=np.int32), count)
+    del edges, at, room, number, place
     # the forward pass goes by distance from the segment's start, then by end
     far = depth.max() > 0xFFFF
     order = np.argsort(depth if far else depth.astype(np.uint16), kind="stable")
@@ -169,18 +198,16 @@ def build_lattice(pieces: Pieces, texts: Texts, start: np.ndarray, end: np.ndarr
         gain[at:to] += forward[from_[at:to]]
         first = np.flatnonzero(np.diff(to_[at:to], prepend=-1))
         most = np.maximum.reduceat(gain[at:to], first)
-        total = np.add.reduceat(np.exp(gain[at:to] - np.repeat(most, np.diff(np.append(first, to - at)))), first)
-        forward[to_[at:to][first]] = most + np.log(total)
+        sums = np.add.reduceat(np.exp(gain[at:to] - np.repeat(most, np.diff(np.append(first, to - at)))), first)
+        forward[to_[at:to][first]] = most + np.log(sums)
     value = np.empty(len(gain))
     value[order] = gain
     share = np.exp(value - forward[target])
-    first = np.flatnonzero(np.diff(target, prepend=-1))
-    count = np.diff(np.append(first, len(target)))
-    total = np.cumsum(share)
-    running = total - np.repeat(total[first] - share[first], count)
+    count = count[count > 0]
+    first = np.cumsum(count) - count
+    running = np.cumsum(share)
+    running -= np.repeat(running[first] - share[first], count)
     running[first + count - 1] = 1.0
-    first_edge = np.full(len(texts.data) + 1, -1, np.int64)
-    first_edge[target[first]] = first
     return Lattice(source, piece, running, first_edge)
 
 
