@@ -20,6 +20,10 @@ LOGISTIC_REGRESSION = {"regParam": 0.01, "maxIter": 10}
 LAST_LAYER_L2 = 0.0005
 DEFAULT_EPOCHS = 10
 
+# Step training. Rates per row, each up to an epoch, and the rows over which momentum fades.
+ROW_RATES = ((0.00001, 33), (0.000001, 66), (0.0000001, None))
+MOMENTUM_ROWS = 10
+
 # Network input and training-time augmentation.
 TILE_SIDE = 224
 PIXEL_MEAN = 114.0

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
+from pyspark.sql.types import ArrayType, FloatType, IntegerType, StructField, StructType
 
 from landtiles.fixed import PIXEL_MEAN, TILE_SIDE
 from landtiles.functions import pixels
@@ -99,21 +99,26 @@ def featurize(
     epoch: Column | None = None,
     seed: str = "0",
     epochs: int | None = None,
+    epoch_column: str | None = None,
 ) -> DataFrame:
     """Replace ``image`` by ``features``, an array of floats.
 
     A tile is scaled to ``side`` if it differs, unrolled to channel-height-width order
     with channels blue, green, red, less ``mean``, and handed to the extractor. With an
     ``epoch`` it is cropped and its colours are changed first, as in training. With a number
-    of ``epochs`` each tile gives one row per epoch, from 1; its bytes are handed over once.
+    of ``epochs`` each tile gives one row per epoch, from 1; its bytes are handed over once, and
+    the number of the epoch is in ``epoch_column`` if one is named.
     """
     extractor = extractor or BlockFeatures()
     passes = [F.lit(e) for e in range(1, epochs + 1)] if epochs else [] if epoch is None else [epoch]
     kept = [c for c in tiles.columns if c != "image"]
     flat = _flat(tiles, kept, passes, seed)
     turns = range(len(passes)) if passes else [None]
+    numbered = [epoch_column] if epoch_column and epochs else []
     schema = StructType(
-        [flat.schema[c] for c in kept] + [StructField("features", ArrayType(FloatType(), False))]
+        [flat.schema[c] for c in kept]
+        + [StructField("features", ArrayType(FloatType(), False))]
+        + [StructField(c, IntegerType()) for c in numbered]
     )
 
     def features(batches):
@@ -127,8 +132,10 @@ def featurize(
                         ready[rows] = _prepared(part, rows, stack, side, turn)
                     ready -= np.float32(mean)
                     found = extractor(ready).astype(np.float32)
+                    number = [pa.array([turn + 1] * part.num_rows, pa.int32()) for _ in numbered]
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(c) for c in kept] + [_lists(found)], names=kept + ["features"]
+                        [part.column(c) for c in kept] + [_lists(found)] + number,
+                        names=kept + ["features"] + numbered,
                     )
 
     return flat.mapInArrow(features, schema)

@@ -2,6 +2,8 @@
 
 from landtiles.fixed import CLASSIFIER_TYPES, FEATURE_LAYER, RETRAINING_TYPES
 
+SOLVERS = ("full", "steps")
+
 
 def check_fraction(fraction: float) -> None:
     if not 0.0 < fraction <= 1.0:
@@ -27,6 +29,12 @@ def check_retraining(pretrained: str, depth: str, epochs: int) -> None:
         raise ValueError("retraining the convolution layers is not supported")
 
 
+def check_solver(solver: str, step_rows: int) -> None:
+    _one_of("solver", solver, SOLVERS)
+    if step_rows <= 0:
+        raise ValueError("number of rows of a step must be greater than zero")
+
+
 def _one_of(what: str, value: str, allowed: tuple[str, ...]) -> None:
     if value not in allowed:
         raise ValueError(f"{what} must be one of {', '.join(allowed)}")

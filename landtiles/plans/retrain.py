@@ -22,7 +22,16 @@ from landtiles.operators.models import (
     train_classifier,
     train_dense_layers,
 )
-from landtiles.plans.checks import check_fraction, check_retraining
+from landtiles.operators.runlog import append_metrics, series_metrics
+from landtiles.operators.steps import (
+    Plan,
+    enter_run,
+    epoch_losses,
+    last_state,
+    open_run,
+    train_steps,
+)
+from landtiles.plans.checks import SOLVERS, check_fraction, check_retraining, check_solver
 from landtiles.plans.common import (
     evaluate,
     feature_extractor,
@@ -31,7 +40,9 @@ from landtiles.plans.common import (
     stored,
 )
 from landtiles.session import cut, job_session
-from landtiles.sinks.tables import ModelPaths, write_card, write_label_index, write_map_file
+from landtiles.sinks.tables import ModelPaths, evened, write_card, write_label_index, write_map_file
+
+HIDDEN = 64
 
 
 def retrain(
@@ -46,14 +57,19 @@ def retrain(
     networks: str | None = None,
     side: int = TILE_SIDE,
     packed: bool = False,
+    solver: str = "full",
+    step_rows: int = 256,
 ) -> DataFrame:
     """Returns one row ``n_total, n_correct, accuracy`` of the validation set.
 
     A tile is decoded and handed over once, then cropped and coloured anew for every epoch.
     The validation tiles stay as they are. Map files and label index list the tiles used.
+    The ``full`` solver passes over the rows of all epochs until the fit stands; ``steps`` moves the weights after every
+    ``step_rows`` rows, epoch by epoch, and a run that was killed goes on behind its last epoch.
     """
     check_retraining(pretrained, depth, epochs)
     check_fraction(fraction)
+    check_solver(solver, step_rows)
     extractor = feature_extractor(spark, networks, pretrained)
     training = labelled_tiles(spark, train_root, fraction, packed)
     validation = labelled_tiles(spark, validation_root, fraction, packed)
@@ -75,18 +91,36 @@ def retrain(
         pretrained_model_type=pretrained, retraining_type=depth,
         output_model_name=paths.name, num_epochs=epochs, sample_frac=fraction,
     )
-    features = stored(featurize(training, extractor, side, epochs=epochs), "train-features")
+    if solver == "steps":
+        root = f"{paths.models}/{paths.name}/steps"
+        plan = Plan(epochs, (HIDDEN,) if depth == "fully_connected" else (), step_rows)
+        settings = repr((train_root, pretrained, networks, fraction, side, packed, plan))
+        run = open_run(spark, root, settings)
+        kept = f"{root}/{run}"
+        if last_state(spark, kept) is None:
+            rows = evened(featurize(training, extractor, side, epochs=epochs, epoch_column="epoch"))
+            rows.write.mode("overwrite").parquet(f"{kept}/features")
+        features = spark.read.parquet(f"{kept}/features")
+        if features.isEmpty():
+            raise ValueError("no readable tiles to train on")
+    else:
+        features = stored(featurize(training, extractor, side, epochs=epochs), "train-features")
     tested = cut(featurize(validation, extractor, side), "test-features")
     files = cut(used_files(features), "class-files")
     index = cut(label_index(files), "label-index")
     write_label_index(index, paths.label_index)
     write_map_file(map_rows(files, index), f"{paths.models}/{paths.name}/map_train.tsv")
     write_map_file(map_rows(used_files(tested), index), f"{paths.models}/{paths.name}/map_test.tsv")
-    if depth == "last_only":
+    if solver == "steps":
+        model = train_steps(features, index, plan, kept)
+        append_metrics(series_metrics(epoch_losses(spark, kept), run_id), paths.metrics)
+    elif depth == "last_only":
         model = train_classifier(features, last_layer())
     else:
-        model = train_dense_layers(features)
+        model = train_dense_layers(features, HIDDEN)
     save_model(model, paths.classifier)
+    if solver == "steps":
+        enter_run(spark, root, run, settings, True)
     return evaluate(apply_classifier(model, tested), paths, run_id)
 
 
@@ -107,15 +141,18 @@ def main(argv=None) -> None:
     parser.add_argument("-o", "--name", required=True, help="name of the model")
     parser.add_argument("-f", "--fraction", type=float, default=1.0, help="share of tiles to use")
     parser.add_argument("-n", "--epochs", type=int, default=DEFAULT_EPOCHS)
+    parser.add_argument("--solver", choices=SOLVERS, default="full")
+    parser.add_argument("--step-rows", type=int, default=256, help="rows of a step, for the solver of steps")
     parser.add_argument("--packed", action="store_true", help="roots are tables of packed tiles")
     args = parser.parse_args(argv)
     check_fraction(args.fraction)
+    check_solver(args.solver, args.step_rows)
     check_retraining(args.pretrained, args.retraining, args.epochs)
     retrain(
         job_session("retrain"), args.train_root, args.validation_root,
         ModelPaths(args.models, args.results, args.name),
         args.pretrained, args.retraining, args.epochs, args.fraction, args.networks,
-        packed=args.packed,
+        packed=args.packed, solver=args.solver, step_rows=args.step_rows,
     ).show()
 
 

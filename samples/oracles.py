@@ -302,7 +302,7 @@ ORACLES = {
     **{
         name: f"""select n_total, n_total as n_correct, 1.0::double as accuracy
                   from (select count(*) as n_total from embeddings where {_hash(_TILE)} >= 0.7)"""
-        for name in ("job_train", "job_retrain", "job_retrain_dense")
+        for name in ("job_train", "job_retrain", "job_retrain_dense", "job_retrain_steps")
     },
     "job_score": f"select {_TILE} as name, 'class_' || label as pred_label from embeddings",
     "linear_head": """

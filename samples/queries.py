@@ -598,6 +598,12 @@ def job_retrain_dense(spark, sf_dir):
     return retrain(spark, training, testing, model_paths(spark, "dense"), "alexnet", "fully_connected")
 
 
+@query
+def job_retrain_steps(spark, sf_dir):
+    training, testing, _ = shown_tiles(spark, sf_dir)
+    return retrain(spark, training, testing, model_paths(spark, "steps"), "alexnet", "last_only", solver="steps")
+
+
 @query
 def job_score(spark, sf_dir):
     training, testing, flat = shown_tiles(spark, sf_dir)
