@@ -80,14 +80,14 @@ def scalar_metrics(spark: SparkSession, run_id: str, values: dict) -> DataFrame:
     return _stamped(frame.withColumn("series", F.lit(None).cast("array<double>")))
 
 
-def value_metrics(rows: DataFrame, run_id: str, metric: str, column: str) -> DataFrame:
-    """Metric rows for a numeric column, one per row."""
+def value_metrics(rows: DataFrame, run_id: str, metric: str, column: str, text: str | None = None) -> DataFrame:
+    """Metric rows for a numeric column, one per row, with the words of column ``text`` if one is named."""
     return _stamped(
         rows.select(
             F.lit(run_id).alias("run_id"),
             F.lit(metric).alias("metric"),
             F.col(column).cast("double").alias("value_double"),
-            F.lit(None).cast("string").alias("value_string"),
+            (F.col(text) if text else F.lit(None)).cast("string").alias("value_string"),
             F.lit(None).cast("array<double>").alias("series"),
         )
     )

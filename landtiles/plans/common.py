@@ -1,6 +1,6 @@
 """Steps that several jobs share."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from landtiles.fixed import CARD_FIELDS, FEATURE_LAYER, SOURCE_CLASSIFIER, SOURCE_NETWORK
@@ -17,14 +17,18 @@ from landtiles.sources.images import (
 from landtiles.sources.tables import card_fields, card_rows, read_cards, read_test_predictions
 
 
-def labelled_tiles(spark: SparkSession, root: str, fraction: float, packed: bool) -> DataFrame:
+def labelled_tiles(
+    spark: SparkSession, root: str, fraction: float, packed: bool, seen: Observation | None = None
+) -> DataFrame:
     read = read_packed_tiles if packed else read_labelled_tiles
-    return read(spark, root, fraction)
+    return read(spark, root, fraction, seen=seen)
 
 
-def flat_tiles(spark: SparkSession, root: str, fraction: float, packed: bool) -> DataFrame:
+def flat_tiles(
+    spark: SparkSession, root: str, fraction: float, packed: bool, seen: Observation | None = None
+) -> DataFrame:
     read = read_packed_tiles if packed else read_flat_tiles
-    return read(spark, root, fraction)
+    return read(spark, root, fraction, seen=seen)
 
 
 def feature_extractor(spark: SparkSession, networks: str | None, pretrained: str):
@@ -67,6 +71,18 @@ def record(spark: SparkSession, paths: ModelPaths, run_id: str, **values) -> Non
     append_metrics(scalar_metrics(spark, run_id, values), paths.metrics)
 
 
+def record_seen(spark: SparkSession, paths: ModelPaths, run_id: str, seen: Observation, prefix: str = "") -> None:
+    """What was counted while tiles were read, as ``tiles_read`` and ``tiles_unreadable``."""
+    record(spark, paths, run_id, **{f"{prefix}{name}": count for name, count in seen.get.items()})
+
+
+def record_predicted(written: DataFrame, paths: ModelPaths, run_id: str) -> None:
+    """``n_predicted`` per class, with the class as the row's text, from predictions as they were written."""
+    counts = written.groupBy("pred_label").count()
+    rows = value_metrics(counts, run_id, "n_predicted", "count", text="pred_label")
+    append_metrics(rows, paths.metrics)
+
+
 def evaluate(predictions: DataFrame, paths: ModelPaths, run_id: str) -> DataFrame:
     """Write the predictions of the test set and record how many are right."""
     write_test_predictions(predictions, paths.test_predictions)
@@ -76,4 +92,5 @@ def evaluate(predictions: DataFrame, paths: ModelPaths, run_id: str) -> DataFram
     append_metrics(
         value_metrics(result, run_id, "accuracy_on_test_set", "accuracy"), paths.metrics
     )
+    record_predicted(written, paths, run_id)
     return result

@@ -3,13 +3,22 @@
 import argparse
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from landtiles.fixed import SOURCE_NETWORK, TILE_SIDE
 from landtiles.operators.featurize import OnnxNetwork, featurize
 from landtiles.operators.models import apply_classifier, apply_network, load_model
 from landtiles.plans.checks import check_fraction
-from landtiles.plans.common import feature_extractor, flat_tiles, model_card, model_source, pairs_of, record
+from landtiles.plans.common import (
+    feature_extractor,
+    flat_tiles,
+    model_card,
+    model_source,
+    pairs_of,
+    record,
+    record_predicted,
+    record_seen,
+)
 from landtiles.session import job_session
 from landtiles.sinks.tables import ModelPaths, write_predictions
 from landtiles.sources.tables import read_label_index, read_predictions
@@ -32,7 +41,8 @@ def score(
     other names of fields to those of this suite.
     """
     check_fraction(fraction)
-    tiles = flat_tiles(spark, tiles_root, fraction, packed)
+    seen, run_id = Observation("scoring"), uuid.uuid4().hex
+    tiles = flat_tiles(spark, tiles_root, fraction, packed, seen)
     card = model_card(spark, paths, field_names)
     if model_source(card, source_names) == SOURCE_NETWORK:
         scores = featurize(tiles, OnnxNetwork(spark, paths.network), side)
@@ -42,9 +52,12 @@ def score(
         predictions = apply_classifier(
             load_model(paths.classifier), featurize(tiles, extractor, side)
         )
-    record(spark, paths, uuid.uuid4().hex, scored_model=paths.name, sample_frac=fraction)
+    record(spark, paths, run_id, scored_model=paths.name, sample_frac=fraction)
     write_predictions(predictions, paths.predictions)
-    return read_predictions(spark, paths.predictions)
+    record_seen(spark, paths, run_id, seen)
+    written = read_predictions(spark, paths.predictions)
+    record_predicted(written, paths, run_id)
+    return written
 
 
 def main(argv=None) -> None:

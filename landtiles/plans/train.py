@@ -3,13 +3,20 @@
 import argparse
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from landtiles.fixed import CLASSIFIER_TYPES, FEATURE_LAYER, SOURCE_CLASSIFIER, TILE_SIDE
 from landtiles.operators.featurize import featurize
 from landtiles.operators.models import apply_classifier, classifier, save_model, train_classifier
 from landtiles.plans.checks import check_classifier, check_fraction, check_pretrained
-from landtiles.plans.common import evaluate, feature_extractor, labelled_tiles, record, stored
+from landtiles.plans.common import (
+    evaluate,
+    feature_extractor,
+    labelled_tiles,
+    record,
+    record_seen,
+    stored,
+)
 from landtiles.session import job_session
 from landtiles.sinks.tables import ModelPaths, write_card
 
@@ -31,8 +38,9 @@ def train(
     check_classifier(kind)
     check_fraction(fraction)
     extractor = feature_extractor(spark, networks, pretrained)
-    training = labelled_tiles(spark, train_root, fraction, packed)
-    testing = labelled_tiles(spark, test_root, fraction, packed)
+    seen, seen_test = Observation("training"), Observation("testing")
+    training = labelled_tiles(spark, train_root, fraction, packed, seen)
+    testing = labelled_tiles(spark, test_root, fraction, packed, seen_test)
 
     write_card(
         spark,
@@ -54,9 +62,12 @@ def train(
     model = train_classifier(
         stored(featurize(training, extractor, side), "train-features"), classifier(kind)
     )
+    record_seen(spark, paths, run_id, seen)
     save_model(model, paths.classifier)
     predictions = apply_classifier(model, featurize(testing, extractor, side))
-    return evaluate(predictions, paths, run_id)
+    result = evaluate(predictions, paths, run_id)
+    record_seen(spark, paths, run_id, seen_test, "test_")
+    return result
 
 
 def main(argv=None) -> None:

@@ -3,7 +3,7 @@
 import posixpath
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from landtiles.functions.paths import base_name, class_name, file_path
@@ -12,33 +12,53 @@ from landtiles.sinks.ledger import committed
 
 
 def read_labelled_tiles(
-    spark: SparkSession, root: str, fraction: float = 1.0, classes: str = "*"
+    spark: SparkSession,
+    root: str,
+    fraction: float = 1.0,
+    classes: str = "*",
+    seen: Observation | None = None,
 ) -> DataFrame:
     """``filepath, label, image`` of ``<root>/<class>/<tile>.png``.
 
     ``classes`` is a pattern for the class folders to read.
-    Files that are no images are left out; ``unreadable_tiles`` counts them.
+    Files that are no images are left out; ``unreadable_tiles`` lists them, and ``seen`` counts them on the way.
     """
-    tiles = _scan(spark, root, drop_invalid=True, classes=classes)
+    tiles = _scan(spark, root, drop_invalid=seen is None, classes=classes)
     key = F.concat_ws("/", class_name(file_path()), base_name(file_path()))
-    return sampled(tiles, key, fraction).select(
+    return readable(sampled(tiles, key, fraction), seen).select(
         file_path().alias("filepath"), class_name(file_path()).alias("label"), "image"
     )
 
 
-def read_flat_tiles(spark: SparkSession, root: str, fraction: float = 1.0) -> DataFrame:
+def read_flat_tiles(
+    spark: SparkSession, root: str, fraction: float = 1.0, seen: Observation | None = None
+) -> DataFrame:
     """``filepath, image`` of ``<root>/<tile>.png``; ``filepath`` is the file name only."""
-    tiles = _scan(spark, root, drop_invalid=True)
+    tiles = _scan(spark, root, drop_invalid=seen is None)
     name = base_name(file_path())
-    return sampled(tiles, name, fraction).select(name.alias("filepath"), "image")
+    return readable(sampled(tiles, name, fraction), seen).select(name.alias("filepath"), "image")
 
 
-def read_packed_tiles(spark: SparkSession, path: str, fraction: float = 1.0) -> DataFrame:
+def read_packed_tiles(
+    spark: SparkSession, path: str, fraction: float = 1.0, seen: Observation | None = None
+) -> DataFrame:
     """Tiles that the job ``pack`` stored; the sample is the one the files would give."""
     tiles = committed(spark, path)
     name = base_name(F.col("filepath"))
     key = F.concat_ws("/", "label", name) if "label" in tiles.columns else name
-    return sampled(tiles, key, fraction)
+    return readable(sampled(tiles, key, fraction), seen)
+
+
+def readable(tiles: DataFrame, seen: Observation | None) -> DataFrame:
+    """The tiles that decode; ``seen`` gets ``tiles_read`` and ``tiles_unreadable`` when they have been used.
+
+    A stage that is repeated after the loss of an executor may count its tiles again.
+    """
+    if seen is None:
+        return tiles
+    decoded = F.col("image.height") >= 0
+    counts = (F.count_if(decoded).alias("tiles_read"), F.count_if(~decoded).alias("tiles_unreadable"))
+    return tiles.observe(seen, *counts).where(decoded)
 
 
 def unreadable_tiles(spark: SparkSession, root: str, labelled: bool) -> DataFrame:

@@ -1,3 +1,6 @@
+import os
+import shutil
+
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
@@ -17,6 +20,7 @@ from landtiles.plans.score import score
 from landtiles.plans.train import train
 from landtiles.session import cut
 from landtiles.sinks import tables as sinks
+from landtiles.sources import images
 from landtiles.sources.images import read_labelled_tiles
 from samples.network import network_file
 from samples.tiles import write_png
@@ -217,6 +221,34 @@ def test_retrain(spark, tiles, tmp_path, depth):
     assert np.mean([expected(n) == p for n, p in found.items()]) >= 0.8
 
 
+def test_metrics_come_from_the_one_scan_of_the_job(spark, tiles, tmp_path, monkeypatch):
+    broken = b"\x89PNG\r\n\x1a\nbroken"
+    shutil.copytree(tiles, f"{tmp_path}/land")
+    tiles = f"{tmp_path}/land"
+    for name in ("train/Forest/x.png", "train/Barren/y.png", "test/Forest/z.png", "county/x.png"):
+        with open(f"{tiles}/{name}", "wb") as file:
+            file.write(broken)
+    scans, scan = [], images._scan
+    monkeypatch.setattr(images, "_scan", lambda spark, root, *a, **k: scans.append(root) or scan(spark, root, *a, **k))
+    paths = sinks.ModelPaths(f"{tmp_path}/models", f"{tmp_path}/results", "m")
+    train(spark, f"{tiles}/train", f"{tiles}/test", paths, "alexnet", "logisticregression", side=SIDE)
+    found = {r.metric: r.value_double for r in spark.read.parquet(paths.metrics).where("value_string is null").collect()}
+    counts = {name: found[name] for name in ("tiles_read", "tiles_unreadable", "test_tiles_read", "test_tiles_unreadable")}
+    assert list(counts.values()) == [150, 2, 60, 1]
+    written = score(spark, f"{tiles}/county", paths, side=SIDE)
+    assert scans == [f"{tiles}/train", f"{tiles}/test", f"{tiles}/county"]
+    rows = spark.read.parquet(paths.metrics).collect()
+    run = next(r.run_id for r in rows if r.metric == "scored_model")
+    own = [r for r in rows if r.run_id == run]
+    assert {r.metric: r.value_double for r in own if r.metric.startswith("tiles")} == {"tiles_read": 80, "tiles_unreadable": 1}
+    predicted = {r.value_string: r.value_double for r in own if r.metric == "n_predicted"}
+    assert predicted == {r.pred_label: r["count"] for r in written.groupBy("pred_label").count().collect()}
+    os.mkdir(f"{tmp_path}/none")
+    with open(f"{tmp_path}/none/x.png", "wb") as file:
+        file.write(broken)
+    assert score(spark, f"{tmp_path}/none", paths, side=SIDE).collect() == []
+
+
 def test_packed_tiles_give_the_same_results(spark, tiles, tmp_path):
     tables = {name: f"{tmp_path}/{name}" for name in ("train", "test", "county")}
     pack(spark, f"{tiles}/train", tables["train"], CLASSES)
