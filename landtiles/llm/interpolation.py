@@ -9,8 +9,10 @@ and tells how often its training rows hold them. Requests meet by ranges of the
 gram, are summed, and each block gets its counts back. Nothing of the vocabulary is broadcast or collected; the
 driver sees N, V and a histogram of rounded probabilities whose size does not depend on the rows.
 
-Null and empty texts consist of the end token. Repeated rows count and are scored each. An empty table gives an
-empty result; without training rows the score is that of the uniform share. Other columns are not read.
+Null and empty texts consist of the end token. Repeated rows count and are scored each. Rows without an id are in fold
+0, so they are learned from. An empty table gives an empty result; without training rows the score is that of the uniform
+share. Other columns are not read. Blocks follow the order of the scan, so hand in a stored table, whose rows come in the
+same order when a task runs again; a block that differs from its request ends the job.
 """
 
 from collections.abc import Iterator
@@ -98,7 +100,8 @@ def with_blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     count = max(1, -(-size // block_bytes))
-    block = F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(count))
+    # the row number deals the copies of a repeated row over all blocks
+    block = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(count))
     train = fold("doc_id", FOLDS) != HELD_OUT
     return rows.withColumns({"train": train, "block": block}).repartition(count, "block"), count
 

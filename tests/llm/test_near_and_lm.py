@@ -151,6 +151,17 @@ def test_scores_do_not_depend_on_blocks(spark):
     assert all(abs(one[k] - many[k]) < 1e-9 * abs(one[k]) for k in one)
 
 
+def test_copies_of_one_row_lie_in_many_blocks(spark, tmp_path):
+    rows = [(7, "again and again " * 4)] * 600 + [(i, prose(i, 10)) for i in range(100, 700)]
+    table(spark, rows).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    blocks, count = interpolation.with_blocks(docs, 8000)
+    sizes = [r["count"] for r in blocks.groupBy("block").count().collect()]
+    assert count > 10 and sum(sizes) == 1200 and max(sizes) < 2 * 1200 / count
+    whole, cut_up = (sorted(map(tuple, interpolation.scores(docs, b).select("doc_id", "base_score").collect())) for b in (1 << 23, 8000))
+    assert np.allclose(whole, cut_up) and len(whole) == 1200
+
+
 def test_scores_by_plain_interpolation(spark):
     rows = [(i, prose(i % 9, 25)) for i in range(40)]
     docs = table(spark, rows)
