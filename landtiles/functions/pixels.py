@@ -49,26 +49,56 @@ def unroll(tiles: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(tiles.transpose(0, 3, 1, 2), dtype=np.float32)
 
 
+def sources(size: int, side: int) -> tuple[np.ndarray, np.ndarray]:
+    """The line that each of ``side`` new lines starts from, and the weight of the line after it."""
+    at = np.clip((np.arange(side) + 0.5) * size / side - 0.5, 0, size - 1)
+    low = np.floor(at).astype(int)
+    return low, (at - low).astype(np.float32)
+
+
 def resize(unrolled: np.ndarray, side: int) -> np.ndarray:
-    """Linear interpolation to side x side, pixel centres aligned, edges repeated."""
-    for axis in (2, 3):
+    """Linear interpolation to side x side, pixel centres aligned, edges repeated.
+
+    Columns go first, so that the large step copies whole lines.
+    """
+    for axis in (3, 2):
         size = unrolled.shape[axis]
         if size == side:
             continue
-        at = np.clip((np.arange(side) + 0.5) * size / side - 0.5, 0, size - 1)
-        low = np.floor(at).astype(int)
-        weight = (at - low).astype(np.float32).reshape((-1, 1) if axis == 2 else -1)
-        below = unrolled.take(low, axis)
-        above = unrolled.take(np.minimum(low + 1, size - 1), axis)
-        unrolled = below + (above - below) * weight
+        low, weight = sources(size, side)
+        last = unrolled.take([size - 1], axis)
+        steps = np.diff(unrolled, axis=axis, append=last)
+        stretched = steps.take(low, axis)
+        stretched *= weight.reshape((-1, 1) if axis == 2 else -1)
+        stretched += unrolled.take(low, axis)
+        unrolled = stretched
     return unrolled
 
 
 def jitter(unrolled: np.ndarray, draws: np.ndarray) -> np.ndarray:
     """Change brightness, contrast and saturation of each tile by three draws in [0, 1)."""
+    return np.clip(recolour(unrolled, draws, unrolled.mean(axis=(1, 2, 3), keepdims=True)), 0, 255)
+
+
+def jitter_resized(unrolled: np.ndarray, draws: np.ndarray, side: int) -> np.ndarray:
+    """``jitter`` of the tiles resized to ``side``.
+
+    Interpolation keeps sums of channels and shares, so colours are changed on the few pixels there are before it.
+    """
+    shares = []
+    for size in unrolled.shape[2:]:
+        low, weight = sources(size, side)
+        above = np.minimum(low + 1, size - 1)
+        shares.append((np.bincount(low, 1 - weight, size) + np.bincount(above, weight, size)) / side)
+    mean = np.einsum("nchw,h,w->n", unrolled, *shares) / unrolled.shape[1]
+    changed = resize(recolour(unrolled, draws, mean.astype(np.float32).reshape(-1, 1, 1, 1)), side)
+    return np.clip(changed, 0, 255, out=changed)
+
+
+def recolour(unrolled: np.ndarray, draws: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """Tiles whose mean is known with other brightness, contrast and saturation, not yet clipped."""
     shift = ((2 * draws - 1) * COLOUR_RADIUS).astype(np.float32)
     brightness, contrast, saturation = (shift[:, i].reshape(-1, 1, 1, 1) for i in range(3))
-    mean = unrolled.mean(axis=(1, 2, 3), keepdims=True)
     changed = (unrolled - mean) * (1 + contrast) + mean * (1 + brightness)
     grey = changed.mean(axis=1, keepdims=True)
-    return np.clip(grey + (changed - grey) * (1 + saturation), 0, 255)
+    return grey + (changed - grey) * (1 + saturation)

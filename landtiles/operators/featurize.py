@@ -25,19 +25,24 @@ class BlockFeatures:
     ``mean`` is what was taken off the pixels before.
     """
 
+    tiles_at_once = 2  # what a core's cache holds
+
     def __init__(self, blocks: int = 8, bins: int = 8, mean: float = PIXEL_MEAN):
         self.blocks, self.bins, self.mean = blocks, bins, mean
 
     def __call__(self, tiles: np.ndarray) -> np.ndarray:
         n, channels, side, _ = tiles.shape
         edges = np.arange(self.blocks) * side // self.blocks
-        sums = np.add.reduceat(np.add.reduceat(tiles, edges, axis=3), edges, axis=2)
         sizes = np.diff(edges, append=side)
+        lines = [tiles[:, :, at : at + size].sum(axis=2) for at, size in zip(edges, sizes)]
+        sums = np.add.reduceat(np.stack(lines, axis=2), edges, axis=3)
         means = sums / np.multiply.outer(sizes, sizes).astype(np.float32)
-        slots = ((tiles + np.float32(self.mean)) * np.float32(self.bins / 256)).astype(np.uint8)
-        slots = slots.reshape(n * channels, -1)
-        shares = [np.count_nonzero(slots == b, axis=1) / side**2 for b in range(self.bins)]
-        return np.concatenate([means.reshape(n, -1), np.stack(shares, 1).reshape(n, -1)], axis=1)
+        values = tiles + np.float32(self.mean)
+        values *= np.float32(self.bins / 256)
+        slots = values.astype(np.uint8).reshape(n * channels, -1)
+        counts = [[np.count_nonzero(row == np.uint8(b)) for b in range(self.bins)] for row in slots]
+        shares = np.array(counts).reshape(n, channels, self.bins) / side**2
+        return np.concatenate([means.reshape(n, -1), shares.reshape(n, -1)], axis=1)
 
 
 class OnnxNetwork:
@@ -121,20 +126,26 @@ def featurize(
         + [StructField(c, IntegerType()) for c in numbered]
     )
 
+    few = min(TILES_AT_ONCE, getattr(extractor, "tiles_at_once", TILES_AT_ONCE))
+
     def features(batches):
+        ready = np.empty((few, 3, side, side), np.float32)
         for batch in batches:
             for start in range(0, batch.num_rows, TILES_AT_ONCE):
                 part = batch.slice(start, TILES_AT_ONCE)
-                stacks = list(pixels.stacks(part))
+                pieces = [part.slice(at, few) for at in range(0, part.num_rows, few)]
+                unrolled = [(piece, list(pixels.stacks(piece))) for piece in pieces]
                 for turn in turns:
-                    ready = np.empty((part.num_rows, 3, side, side), np.float32)
-                    for rows, stack in stacks:
-                        ready[rows] = _prepared(part, rows, stack, side, turn)
-                    ready -= np.float32(mean)
-                    found = extractor(ready).astype(np.float32)
+                    found = []
+                    for piece, stacks in unrolled:
+                        tiles = ready[: piece.num_rows]
+                        for rows, stack in stacks:
+                            tiles[rows] = _prepared(piece, rows, stack, side, turn)
+                        tiles -= np.float32(mean)
+                        found.append(extractor(tiles).astype(np.float32))
                     number = [pa.array([turn + 1] * part.num_rows, pa.int32()) for _ in numbered]
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(c) for c in kept] + [_lists(found)] + number,
+                        [part.column(c) for c in kept] + [_lists(np.concatenate(found))] + number,
                         names=kept + ["features"] + numbered,
                     )
 
@@ -202,8 +213,7 @@ def _prepared(part: pa.RecordBatch, rows, stack: np.ndarray, side: int, turn: in
         return pixels.resize(pixels.unroll(stack), side)
     drawn = [part.column(f"_{d}").flatten().to_numpy().reshape(part.num_rows, -1) for d in _DRAWS]
     drawn = np.stack([d[rows, turn] for d in drawn], axis=1)
-    cropped = pixels.unroll(pixels.crop(stack, drawn[:, :2]))
-    return pixels.jitter(pixels.resize(cropped, side), drawn[:, 2:])
+    return pixels.jitter_resized(pixels.unroll(pixels.crop(stack, drawn[:, :2])), drawn[:, 2:], side)
 
 
 def _lists(values: np.ndarray) -> pa.ListArray:

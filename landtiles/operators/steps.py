@@ -1,7 +1,9 @@
 """Training of dense layers on stored features in synchronous steps, one epoch at a time; a restart goes on.
 
-Features are packed once into blocks of rows, keyed by epoch and step. A step reads its own blocks only: tasks sum the
-gradients of their blocks, the sums meet in pieces of the weights, and the driver, which holds the weights, moves them.
+Features are packed once into blocks of rows, keyed by epoch and step. A large step reads its own blocks only: tasks sum
+the gradients of their blocks, the sums meet in pieces of the weights, and the driver, which holds the weights, moves them.
+Small steps cost less than the start of a job, and each waits for the one before: a task takes the weights, makes a run of
+them in order, of ``RUN_ROWS`` rows at most, and hands the weights on. Both ways give the same weights to the bit.
 Gradients are summed as whole numbers of ``UNIT``, so neither the layout of tasks nor one that runs again changes a bit.
 After each epoch weights and moments are written; a run that was killed starts behind the last epoch written. A table
 of runs has the settings of each and whether it ended; only one that did not is gone on with.
@@ -32,7 +34,10 @@ from landtiles.operators.labels import add_index
 UNIT = 2.0**-28
 PIECE = 4096  # weights whose gradients meet in one group
 SEED = 20171
-BLOCKS = "epoch int, step int, rows int, labels binary, features binary"
+RUN_ROWS = 1 << 16  # rows of the steps that one task makes in a row
+SMALL_STEP_ROWS = 4096  # steps of more rows are made by many tasks
+BLOCKS = "epoch int, run int, step int, rows int, labels binary, features binary"
+MOVED = "weights binary, speed binary, square binary, rows bigint, loss bigint, errors bigint"
 RUNS = "run string, settings string, at timestamp, ended boolean"
 STATE = "layers array<int>, mean binary, scale binary, weights binary, speed binary, square binary, rows bigint, loss double, errors bigint"
 
@@ -49,6 +54,12 @@ class Plan:
     momentum_rows: int = MOMENTUM_ROWS
     l2: float = LAST_LAYER_L2
     seed: int = SEED
+    run_rows: int = RUN_ROWS
+
+    @property
+    def run_steps(self) -> int:
+        """Steps that one task makes in a row."""
+        return 1 if self.step_rows > min(SMALL_STEP_ROWS, self.run_rows) else self.run_rows // self.step_rows
 
     def rate(self, epoch: int) -> float:
         return next(rate for rate, last in self.rates if last is None or epoch <= last)
@@ -110,7 +121,7 @@ def gradient(layers: list[int], weights: np.ndarray, x: np.ndarray, labels: np.n
 
 
 def pack_steps(features: DataFrame, index: DataFrame, plan: Plan, path: str) -> None:
-    """Write ``filepath, label, epoch, features`` as blocks of rows, in folders by epoch and step."""
+    """Write ``filepath, label, epoch, features`` as blocks of rows, in folders by epoch and run of steps."""
     rows = add_index(features, index)
     most = rows.groupBy("epoch").count().agg(F.max("count")).first()[0]
     steps = max(1, -(-most // plan.step_rows))
@@ -119,13 +130,17 @@ def pack_steps(features: DataFrame, index: DataFrame, plan: Plan, path: str) ->
     # rows of a step are dealt on by further digits of the hash; blocks close at their size, so no group is held whole
     part = F.pmod(F.shiftrightunsigned("key", 32), F.lit(max(1, plan.step_rows // plan.block_rows))).cast("int")
     order = ["epoch", "step", "part"]
-    placed = dealt.withColumn("part", part).repartition(*order).sortWithinPartitions(*order, "key", "filepath", "features")
+    run_number = F.floor(F.col("step") / plan.run_steps).cast("int")
+    placed = dealt.withColumn("part", part).withColumn("run", run_number)
+    placed = placed.repartition("epoch", "run", *(["part"] if plan.run_steps == 1 else []))
+    placed = placed.sortWithinPartitions("epoch", "run", "step", "part", "key", "filepath", "features")
 
     def block(held: list[tuple], at: tuple) -> pa.RecordBatch:
         labels, values = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-        row = (*at[:2], len(labels), labels.astype("<i4").tobytes(), values.astype("<f4").tobytes())
-        types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=["epoch", "step", "rows", "labels", "features"])
+        row = (at[0], at[1] // plan.run_steps, at[1], len(labels), labels.astype("<i4").tobytes(), values.astype("<f4").tobytes())
+        types = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        names = ["epoch", "run", "step", "rows", "labels", "features"]
+        return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, now = [], 0, None
@@ -149,7 +164,15 @@ def pack_steps(features: DataFrame, index: DataFrame, plan: Plan, path: str) ->
         if held:
             yield block(held, now)
 
-    placed.mapInArrow(run, BLOCKS).write.mode("overwrite").partitionBy("epoch", "step").parquet(path)
+    placed.mapInArrow(run, BLOCKS).write.mode("overwrite").partitionBy("epoch", "run").parquet(path)
+
+
+def block_sum(layers: list[int], weights: np.ndarray, mean: np.ndarray, scale: np.ndarray, labels: bytes, values: bytes) -> tuple:
+    """The gradient of a block and its loss as whole numbers of ``UNIT``; its rows and errors."""
+    labels = np.frombuffer(labels, "<i4")
+    x = (np.frombuffer(values, "<f4").reshape(len(labels), -1) - mean) / scale
+    found, lost, wrong = gradient(layers, weights, x, labels)
+    return np.rint(found / UNIT).astype(np.int64), len(labels), int(np.rint(lost / UNIT)), wrong
 
 
 def summed(blocks: DataFrame, state: State) -> tuple[np.ndarray, int, float, int]:
@@ -162,11 +185,9 @@ def summed(blocks: DataFrame, state: State) -> tuple[np.ndarray, int, float, int
         total, rows, loss, errors = np.zeros(size, np.int64), 0, 0, 0
         for batch in batches:
             for labels, values in zip(batch.column("labels").to_pylist(), batch.column("features").to_pylist()):
-                labels = np.frombuffer(labels, "<i4")
-                x = (np.frombuffer(values, "<f4").reshape(len(labels), -1) - mean) / scale
-                found, lost, wrong = gradient(layers, weights, x, labels)
-                total += np.rint(found / UNIT).astype(np.int64)
-                rows, loss, errors = rows + len(labels), loss + int(np.rint(lost / UNIT)), errors + wrong
+                found, count, lost, wrong = block_sum(layers, weights, mean, scale, labels, values)
+                total += found
+                rows, loss, errors = rows + count, loss + lost, errors + wrong
         if rows:
             pieces = [total[at : at + PIECE].tobytes() for at in range(0, size, PIECE)]
             counts = np.array([rows, loss, errors], np.int64).tobytes()
@@ -186,6 +207,32 @@ def summed(blocks: DataFrame, state: State) -> tuple[np.ndarray, int, float, int
     return total * UNIT, rows, loss * UNIT, errors
 
 
+def steps_in_a_row(blocks: DataFrame, state: State, plan: Plan, epoch: int) -> tuple[State, int, float, int]:
+    """The state after the steps of one run, made in order by one task; rows, loss and errors of all of them."""
+    sent = blocks.sparkSession.sparkContext.broadcast(state)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, at, total, rows, counts = sent.value, None, 0, 0, np.zeros(3, np.int64)
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("step", "labels", "features"))
+            for step, labels, values in zip(*columns):
+                if rows and step != at:
+                    now, total, rows = moved(now, total * UNIT, rows, plan, epoch), 0, 0
+                found, *numbers = block_sum(now.layers, now.weights, now.mean, now.scale, labels, values)
+                at, total, rows, counts = step, total + found, rows + numbers[0], counts + numbers
+        if rows:
+            now = moved(now, total * UNIT, rows, plan, epoch)
+            made = [v.astype("<f8").tobytes() for v in (now.weights, now.speed, now.square)]
+            arrays = [pa.array([v], pa.binary()) for v in made] + [pa.array([int(v)], pa.int64()) for v in counts]
+            yield pa.RecordBatch.from_arrays(arrays, names=["weights", "speed", "square", "rows", "loss", "errors"])
+
+    ordered = blocks.select("step", "labels", "features").coalesce(1).sortWithinPartitions("step")
+    row = ordered.mapInArrow(run, MOVED).first()
+    sent.destroy()
+    weights, speed, square = (np.frombuffer(row[c], "<f8") for c in ("weights", "speed", "square"))
+    return replace(state, weights=weights, speed=speed, square=square), row.rows, row.loss * UNIT, row.errors
+
+
 def moved(state: State, total: np.ndarray, rows: int, plan: Plan, epoch: int) -> State:
     """The state after one step."""
     mean = total / rows
@@ -269,13 +316,17 @@ def train_steps(features: DataFrame, index: DataFrame, plan: Plan, path: str) ->
 
 
 def run_epoch(spark: SparkSession, path: str, state: State, plan: Plan, epoch: int) -> State:
-    """The state after all steps of an epoch; a step lists and reads its own folder only."""
-    schema = "rows int, labels binary, features binary"
-    steps = sorted(r.step for r in spark.read.schema(schema + ", step int").parquet(path).select("step").distinct().collect())
+    """The state after all steps of an epoch; a run of steps lists and reads its own folder only."""
+    schema = "step int, rows int, labels binary, features binary"
+    runs = sorted(r.run for r in spark.read.schema(schema + ", run int").parquet(path).select("run").distinct().collect())
     seen, loss, errors = 0, 0.0, 0
-    for step in steps:
-        total, rows, lost, wrong = summed(spark.read.schema(schema).parquet(f"{path}/step={step}"), state)
-        state = moved(state, total, rows, plan, epoch)
+    for run in runs:
+        blocks = spark.read.schema(schema).parquet(f"{path}/run={run}")
+        if plan.run_steps > 1:
+            state, rows, lost, wrong = steps_in_a_row(blocks, state, plan, epoch)
+        else:
+            total, rows, lost, wrong = summed(blocks, state)
+            state = moved(state, total, rows, plan, epoch)
         seen, loss, errors = seen + rows, loss + lost, errors + wrong
     return replace(state, rows=seen, loss=loss, errors=errors)
 
