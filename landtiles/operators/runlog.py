@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from landtiles.fixed import ACCURACY_LINE, EPOCH_LINE
 from landtiles.functions.vectors import required
+from landtiles.sinks.tables import evened
 
 EPOCH_FIELDS = ("epoch", "loss", "error_pct", "duration", "rate")
 # Name under which each epoch column is recorded.
@@ -107,8 +108,11 @@ def series_metrics(series: DataFrame, run_id: str) -> DataFrame:
 
 
 def append_metrics(rows: DataFrame, path: str) -> None:
-    """One small file per call, in the folder of its run."""
-    rows.coalesce(1).write.mode("append").partitionBy("run_id").parquet(path)
+    """In the folder of their run; few rows give one small file.
+
+    Rows are brought together behind their own tasks, so that a large input is not read by one.
+    """
+    evened(rows).write.mode("append").partitionBy("run_id").parquet(path)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
