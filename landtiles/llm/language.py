@@ -22,6 +22,7 @@ SAMPLE = 300  # labelled texts per language that the trees are built from
 UNDETERMINED = "und"
 KEEP_SCORE = 0.3  # the pipeline rejects texts without a letter, and those below this score
 RATE_LIMIT = 3.0  # the pipeline rejects texts that take so many times the bits of a language's usual text
+RATE_STEPS = 4096  # to a bit, in which rates are counted
 FREE_BITS = 64  # that a text of any length may take beyond that
 HAS_LETTER = r"\p{L}"
 
@@ -147,23 +148,25 @@ def identify(docs: DataFrame, trees: Trees | None) -> DataFrame:
     return scored(lettered, {"lang_pred": "string", "score": "double"}, score, trees.order, trees)
 
 
-def usual_rates(docs: DataFrame, trees: Trees | None, per_language: int = SAMPLE) -> np.ndarray | None:
-    """Median bits per byte of held-out texts of each language in its own trees, from at most about ``per_language``.
+def usual_rates(docs: DataFrame, trees: Trees | None) -> np.ndarray | None:
+    """Median bits per byte of the held-out texts of each language in its own trees, of all of them.
 
+    Rates are counted in steps of 1 / ``RATE_STEPS`` bit, so any number of texts takes the room of few counts.
     A language without held-out texts gets the largest median of the others, or 8.
     """
     if trees is None:
         return None
-    kept = docs.where(fold("doc_id", 5) == 0).select("doc_id", "text", "lang", F.octet_length("text").alias("size"))
-    rows = bounded_sample(kept.where(F.col("lang").isin(trees.languages)), "lang", per_language)
+    kept = docs.where((fold("doc_id", 5) == 0) & F.col("doc_id").isNotNull()).select("doc_id", "text", "lang")
+    rows = kept.where(F.col("lang").isin(trees.languages) & F.col("text").rlike(HAS_LETTER))
 
     def rate(model, texts):
         sizes = np.maximum(texts.ends - texts.starts, 1)
         return [(code_lengths(model, texts) / sizes[:, None]).tolist()]
 
-    rates = scored(rows.where(F.col("text").rlike(HAS_LETTER)), {"rates": "array<double>"}, rate, trees.order, trees, ("lang",))
+    rates = scored(rows, {"rates": "array<double>"}, rate, trees.order, trees, ("lang",))
     own = F.get("rates", F.array_position(F.array(*map(F.lit, trees.languages)), F.col("lang")).cast("int") - 1)
-    found = dict(rates.select("lang", own.alias("rate")).groupBy("lang").agg(F.percentile_approx("rate", 0.5)).collect())
+    counts = rates.groupBy("lang", F.round(own * RATE_STEPS).cast("bigint").alias("steps")).count()
+    found = dict(counts.groupBy("lang").agg(F.percentile("steps", 0.5, F.col("count")) / RATE_STEPS).collect())
     most = max(found.values(), default=8.0)
     return np.array([found.get(x, most) for x in trees.languages])
 
