@@ -1,10 +1,14 @@
 """Numpy helpers that work on whole Arrow batches of image tiles inside a task."""
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 
 from landtiles.fixed import COLOUR_RADIUS, CROP_RATIO
 
+FEW_LINES = 16  # tiles of so few lines are stretched by one product of matrices
+
 
 def stacks(batch: pa.RecordBatch):
     """Yield (row numbers, uint8 array n x height x width x 3) per tile shape in a batch.
@@ -49,6 +53,7 @@ def unroll(tiles: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(tiles.transpose(0, 3, 1, 2), dtype=np.float32)
 
 
+@lru_cache(maxsize=1024)
 def sources(size: int, side: int) -> tuple[np.ndarray, np.ndarray]:
     """The line that each of ``side`` new lines starts from, and the weight of the line after it."""
     at = np.clip((np.arange(side) + 0.5) * size / side - 0.5, 0, size - 1)
@@ -56,6 +61,16 @@ def sources(size: int, side: int) -> tuple[np.ndarray, np.ndarray]:
     return low, (at - low).astype(np.float32)
 
 
+@lru_cache(maxsize=16)
+def stretch(size: int, side: int) -> np.ndarray:
+    """The matrix that makes ``side`` lines of ``size`` lines and their steps to the next, one below the other."""
+    low, weight = sources(size, side)
+    made = np.zeros((side, 2 * size), np.float32)
+    made[np.arange(side), low] = 1
+    made[np.arange(side), size + low] = weight
+    return made
+
+
 def resize(unrolled: np.ndarray, side: int) -> np.ndarray:
     """Linear interpolation to side x side, pixel centres aligned, edges repeated.
 
@@ -65,9 +80,12 @@ def resize(unrolled: np.ndarray, side: int) -> np.ndarray:
         size = unrolled.shape[axis]
         if size == side:
             continue
-        low, weight = sources(size, side)
         last = unrolled.take([size - 1], axis)
         steps = np.diff(unrolled, axis=axis, append=last)
+        if axis == 2 and size <= FEW_LINES:
+            unrolled = stretch(size, side) @ np.concatenate([unrolled, steps], axis=axis)
+            continue
+        low, weight = sources(size, side)
         stretched = steps.take(low, axis)
         stretched *= weight.reshape((-1, 1) if axis == 2 else -1)
         stretched += unrolled.take(low, axis)
@@ -80,16 +98,20 @@ def jitter(unrolled: np.ndarray, draws: np.ndarray) -> np.ndarray:
     return np.clip(recolour(unrolled, draws, unrolled.mean(axis=(1, 2, 3), keepdims=True)), 0, 255)
 
 
+@lru_cache(maxsize=1024)
+def line_shares(size: int, side: int) -> np.ndarray:
+    """How much of ``side`` new lines comes from each of ``size`` lines."""
+    low, weight = sources(size, side)
+    above = np.minimum(low + 1, size - 1)
+    return (np.bincount(low, 1 - weight, size) + np.bincount(above, weight, size)) / side
+
+
 def jitter_resized(unrolled: np.ndarray, draws: np.ndarray, side: int) -> np.ndarray:
     """``jitter`` of the tiles resized to ``side``.
 
     Interpolation keeps sums of channels and shares, so colours are changed on the few pixels there are before it.
     """
-    shares = []
-    for size in unrolled.shape[2:]:
-        low, weight = sources(size, side)
-        above = np.minimum(low + 1, size - 1)
-        shares.append((np.bincount(low, 1 - weight, size) + np.bincount(above, weight, size)) / side)
+    shares = [line_shares(size, side) for size in unrolled.shape[2:]]
     mean = np.einsum("nchw,h,w->n", unrolled, *shares) / unrolled.shape[1]
     changed = resize(recolour(unrolled, draws, mean.astype(np.float32).reshape(-1, 1, 1, 1)), side)
     return np.clip(changed, 0, 255, out=changed)

@@ -25,7 +25,7 @@ class BlockFeatures:
     ``mean`` is what was taken off the pixels before.
     """
 
-    tiles_at_once = 2  # what a core's cache holds
+    tiles_at_once = 4  # what a core's cache holds
 
     def __init__(self, blocks: int = 8, bins: int = 8, mean: float = PIXEL_MEAN):
         self.blocks, self.bins, self.mean = blocks, bins, mean
@@ -37,13 +37,18 @@ class BlockFeatures:
         lines = [tiles[:, :, at : at + size].sum(axis=2) for at, size in zip(edges, sizes)]
         sums = np.add.reduceat(np.stack(lines, axis=2), edges, axis=3)
         means = sums / np.multiply.outer(sizes, sizes).astype(np.float32)
-        values = tiles + np.float32(self.mean)
-        values *= np.float32(self.bins / 256)
-        slots = values.astype(np.uint8).reshape(n * channels, -1)
-        counts = [[np.count_nonzero(row == np.uint8(b)) for b in range(self.bins)] for row in slots]
+        held = np.empty((side, side), np.float32), np.empty((side, side), np.uint8), np.empty((side, side), bool)
+        counts = [self._counts(channel, *held) for tile in tiles for channel in tile]
         shares = np.array(counts).reshape(n, channels, self.bins) / side**2
         return np.concatenate([means.reshape(n, -1), shares.reshape(n, -1)], axis=1)
 
+    def _counts(self, channel: np.ndarray, values: np.ndarray, slots: np.ndarray, same: np.ndarray) -> list[int]:
+        """How many values of a channel, which a core's cache holds, are in each bin; the last three are overwritten."""
+        np.add(channel, np.float32(self.mean), out=values)
+        np.multiply(values, np.float32(self.bins / 256), out=values)
+        slots[...] = values  # cut to whole numbers
+        return [np.count_nonzero(np.equal(slots, np.uint8(b), out=same)) for b in range(self.bins)]
+
 
 class OnnxNetwork:
     """A network file, broadcast to the executors; ``output`` names the layer to return.
@@ -140,7 +145,11 @@ def featurize(
                     for piece, stacks in unrolled:
                         tiles = ready[: piece.num_rows]
                         for rows, stack in stacks:
-                            tiles[rows] = _prepared(piece, rows, stack, side, turn)
+                            made = _prepared(piece, rows, stack, side, turn)
+                            if len(stacks) == 1:
+                                tiles = made  # all rows, in order
+                            else:
+                                tiles[rows] = made
                         tiles -= np.float32(mean)
                         found.append(extractor(tiles).astype(np.float32))
                     number = [pa.array([turn + 1] * part.num_rows, pa.int32()) for _ in numbered]

@@ -1,5 +1,7 @@
 """Work that must not grow with the number of steps, and colours changed before tiles are scaled."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -37,3 +39,14 @@ def test_colours_changed_before_scaling(shape):
     unrolled = pixels.unroll(tiles)
     expected = pixels.jitter(pixels.resize(unrolled, 16), draws)
     assert np.allclose(pixels.jitter_resized(unrolled, draws, 16), expected, atol=1e-3)
+
+
+def test_small_tiles_are_stretched_without_copies_of_the_large_ones():
+    tiles = pixels.unroll(np.random.default_rng(3).integers(0, 256, (4, 7, 7, 3), dtype=np.uint8))
+    made = pixels.resize(tiles, 224)  # tables of lines are kept from here on
+    tracemalloc.start()
+    made = pixels.resize(tiles, 224)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 1.5 * made.nbytes
+    assert np.array_equal(pixels.resize(np.full((1, 3, 7, 7), 64, np.float32), 224), np.full((1, 3, 224, 224), 64, np.float32))
