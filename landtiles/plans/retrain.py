@@ -39,12 +39,13 @@ from landtiles.plans.common import (
     record,
     stored,
 )
-from landtiles.session import cut, job_session
+from landtiles.session import cut, job_session, tile_job
 from landtiles.sinks.tables import ModelPaths, evened, write_card, write_label_index, write_map_file
 
 HIDDEN = 64
 
 
+@tile_job
 def retrain(
     spark: SparkSession,
     train_root: str,

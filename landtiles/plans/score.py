@@ -19,11 +19,12 @@ from landtiles.plans.common import (
     record_predicted,
     record_seen,
 )
-from landtiles.session import job_session
+from landtiles.session import job_session, tile_job
 from landtiles.sinks.tables import ModelPaths, write_predictions
 from landtiles.sources.tables import read_label_index, read_predictions
 
 
+@tile_job
 def score(
     spark: SparkSession,
     tiles_root: str,

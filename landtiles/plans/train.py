@@ -17,10 +17,11 @@ from landtiles.plans.common import (
     record_seen,
     stored,
 )
-from landtiles.session import job_session
+from landtiles.session import job_session, tile_job
 from landtiles.sinks.tables import ModelPaths, write_card
 
 
+@tile_job
 def train(
     spark: SparkSession,
     train_root: str,

@@ -4,6 +4,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,22 @@ def job_session(name: str) -> SparkSession:
     return spark
 
 
+def tile_job(job: Callable) -> Callable:
+    """A job on small files: while it runs a task gets several hundred, whatever session it is called with."""
+    cost = "spark.sql.files.openCostInBytes"
+
+    @wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        before = spark.conf.get(cost)
+        spark.conf.set(cost, JOB_SETTINGS[cost])
+        try:
+            return job(spark, *args, **kwargs)
+        finally:
+            spark.conf.set(cost, before)
+
+    return run
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of a local session, once.
 

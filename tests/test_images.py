@@ -73,6 +73,31 @@ def test_labelled_tiles(spark, made):
         assert np.array_equal(rgb(tiles[name])[..., : shape[2]], bgr)
 
 
+def test_tiles_are_decoded_as_the_image_reader_does(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    rgb_file = png(rng.integers(0, 256, (4, 5, 3), dtype=np.uint8))
+    dot = struct.pack(">IIBBBBB", 1, 1, 8, 2, 0, 0, 1)
+    interlaced = rgb_file[:8] + struct.pack(">I", 13) + b"IHDR" + dot + struct.pack(">I", zlib.crc32(b"IHDR" + dot))
+    body = zlib.compress(b"\0abc")
+    interlaced += struct.pack(">I", len(body)) + b"IDAT" + body + struct.pack(">I", zlib.crc32(b"IDAT" + body)) + rgb_file[-12:]
+    bitmap = b"BM" + struct.pack("<IHHI", 58, 0, 0, 54) + struct.pack("<IiiHHIIiiII", 40, 1, 1, 1, 24, 0, 4, 0, 0, 0, 0) + b"\1\2\3\0"
+    plain = {"a.png": rgb_file, "b c.png": png(rng.integers(0, 256, (6, 6), dtype=np.uint8))}
+    others = {"dot.png": interlaced, "map.png": bitmap, "junk.png": b"junk", "none.png": b"", "head.png": rgb_file[:8]}
+    for folder, files in {"plain": plain, "mixed": plain | others}.items():
+        (tmp_path / folder).mkdir()
+        for name, content in files.items():
+            (tmp_path / folder / name).write_bytes(content)
+    for folder in ("plain", "mixed"):
+        found = images.read_flat_tiles(spark, f"{tmp_path}/{folder}")
+        wanted = spark.read.format("image").option("dropInvalid", True).load(f"{tmp_path}/{folder}").select("image")
+        assert sorted(r.image for r in found.collect()) == sorted(r.image for r in wanted.collect())
+        assert found.count() == (2 if folder == "plain" else 4)
+    bad = images.unreadable_tiles(spark, f"{tmp_path}/mixed", labelled=False).collect()
+    assert {r.filepath.rsplit("/", 1)[1] for r in bad} == {"junk.png", "head.png"}  # an empty file gives no row
+    plan = images.read_flat_tiles(spark, f"{tmp_path}/plain")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan image" not in plan  # its encoder for every file
+
+
 def test_other_spellings_of_the_root(spark, made):
     root, tiles = made
     for spelling in (root + "/", "file://" + root):

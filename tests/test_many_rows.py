@@ -5,9 +5,11 @@ import tracemalloc
 import numpy as np
 import pytest
 
+from landtiles import session
 from landtiles.functions import pixels
 from landtiles.operators import steps
 from landtiles.operators.labels import label_index
+from landtiles.plans import retrain, score, train
 from landtiles.session import cut
 
 
@@ -50,3 +52,20 @@ def test_small_tiles_are_stretched_without_copies_of_the_large_ones():
     tracemalloc.stop()
     assert most < 1.5 * made.nbytes
     assert np.array_equal(pixels.resize(np.full((1, 3, 7, 7), 64, np.float32), 224), np.full((1, 3, 224, 224), 64, np.float32))
+
+
+def test_a_task_of_a_tile_job_gets_hundreds_of_small_files(spark, tmp_path):
+    most = spark.sparkContext.defaultParallelism
+    for number in range(40 * most):
+        (tmp_path / f"{number}.png").write_bytes(b"junk")
+    cost = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(cost)
+
+    @session.tile_job
+    def tasks(given):
+        return given.read.format("binaryFile").load(str(tmp_path)).rdd.getNumPartitions()
+
+    assert tasks.__wrapped__(spark) > most
+    assert tasks(spark) <= most and spark.conf.get(cost) == before
+    for job in (train.train, retrain.retrain, score.score):
+        assert job.__wrapped__
